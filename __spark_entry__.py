@@ -6,6 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -128,9 +129,9 @@ class Tables:
         when = self.stg["orders"].select("order_id", "order_purchase_ts")
         return self._by_period(self.stg["payments"].join(when, "order_id"))
 
-    @property
+    @cached_property
     def drift(self) -> DataFrame:
-        return registry.drift_score(*self.payment_periods)
+        return models.stored(registry.drift_score(*self.payment_periods), "drift")
 
     @property
     def audit(self) -> DataFrame:
@@ -145,9 +146,9 @@ class Tables:
 
     # ---------------------------------------------------------------- registry inputs
 
-    @property
+    @cached_property
     def monthly_scores(self) -> DataFrame:
-        """A score per model type and month, taken from the data."""
+        """A score per model type and month, taken from the data and stored once."""
         naive = models.naive_forecast(self.demand_train)
         forecast = naive.groupBy(F.date_format("kpi_date", "yyyy-MM").alias("month")).agg(
             F.round(metrics.mape("target_orders_next_7d", "prediction"), 9).alias("metric_value")
@@ -157,9 +158,10 @@ class Tables:
             .groupBy(F.date_format("order_date", "yyyy-MM").alias("month"))
             .agg(F.round(1 - F.avg(F.col("is_delayed").cast("double")), 9).alias("metric_value"))
         )
-        return forecast.select(F.lit("forecast").alias("model_type"), "*").unionByName(
+        scores = forecast.select(F.lit("forecast").alias("model_type"), "*").unionByName(
             on_time.select(F.lit("delay_risk").alias("model_type"), "*")
         )
+        return models.stored(scores, "monthly-scores")
 
     @property
     def registry(self) -> DataFrame:
@@ -268,14 +270,14 @@ def _registry_promote(t: Tables) -> DataFrame:
 
 
 def _time_series_folds(t: Tables) -> DataFrame:
-    indexed = models._stored(splits.time_index(t.demand_train), "time-index")
+    indexed = models.stored(splits.time_index(t.demand_train), "time-index")
     return splits.time_series_folds(indexed, splits.time_fold_plan(indexed.count())).withColumns(
         {c: F.col(c).cast("double") for c in ("train_target", "validation_target")}
     )
 
 
 def _fold_mean(t: Tables) -> DataFrame:
-    indexed = models._stored(models.naive_forecast(splits.time_index(t.demand_train)), "time-index")
+    indexed = models.stored(models.naive_forecast(splits.time_index(t.demand_train)), "time-index")
     folds = splits.time_fold_plan(indexed.count())
     i = F.col("row_index")
     fold = F.lit(None)
@@ -339,7 +341,7 @@ def _forecast_scores(t: Tables) -> DataFrame:
 
 def _delay_model(t: Tables):
     session.ensure_checkpoint_dir(t.spark)
-    train = models._stored(t.delay_train, "delay-train")
+    train = models.stored(t.delay_train, "delay-train")
     return models.delay_pipeline(TREES, DEPTH).fit(train)
 
 
@@ -398,8 +400,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "model_roundtrip": _model_roundtrip,
     "demand_forecast_daily": _forecast_scores,
     "delay_risk_scores": lambda t: models.score_delay(_delay_model(t), t.delay_scoring, "v1", RUN_TS),
-    "psi_cuts": lambda t: quantiles.decile_cuts(t.payment_periods[0], "payment_value").select(
-        F.explode("cuts").alias("cut")
+    "psi_cuts": lambda t: _rounded(
+        quantiles.decile_cuts(t.payment_periods[0], "payment_value").select(F.explode("cuts").alias("cut")), "cut", 6
     ),
     "psi_histogram": _psi_histogram,
     "drift_psi": lambda t: _rounded(t.drift.select("psi_score"), "psi_score", 12),

@@ -201,7 +201,7 @@ group by p, n"""
 
 # -------------------------------------------------------------------- drift and registry
 
-_BODIES["psi_cuts"] = "select unnest(cuts) as cut from pay_cuts"
+_BODIES["psi_cuts"] = "select round(unnest(cuts), 6) as cut from pay_cuts"
 _BODIES["psi_histogram"] = "select bin, e as baseline_rows, a as current_rows from pay_hist"
 _BODIES["drift_psi"] = "select round(psi_score, 12) as psi_score from pay_psi"
 _BODIES["drift_flag"] = "select feature_name, drift_flag from audit"

@@ -12,13 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def _same(a: DataFrame, b: DataFrame, names: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & a[name].eqNullSafe(b[name])
-    return condition
-
-
 def running_total(
     df: DataFrame,
     weight: Column,
@@ -26,12 +19,14 @@ def running_total(
     order: Sequence[Column],
     within: Sequence[str] = (),
     name: str = "before",
+    grand_total: str | None = None,
 ) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over all rows that come earlier.
 
     Rows are ordered by ``bucket``, then ``order``; totals restart for each
     combination of ``within``. ``bucket`` must be deterministic and its number
-    of values bounded, and must not contradict ``order``.
+    of values bounded, and must not contradict ``order``. ``grand_total`` names a
+    column for the sum over all rows.
     """
     keys = [*within, "_bucket"]
     rows = df.withColumn("_bucket", bucket).withColumn("_weight", weight.cast("bigint"))
@@ -39,7 +34,11 @@ def running_total(
     offsets = (
         rows.groupBy(*keys)
         .agg(F.sum("_weight").alias("_total"))
-        .select(*[F.col(k).alias(f"_o{k}") for k in keys], F.sum("_total").over(earlier).alias("_offset"))
+        .select(
+            *[F.col(k).alias(f"_o{k}") for k in keys],
+            F.sum("_total").over(earlier).alias("_offset"),
+            F.sum("_total").over(Window.partitionBy(*within)).alias("_grand"),
+        )
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("_local", F.sum("_weight").over(inside))
@@ -47,25 +46,19 @@ def running_total(
     for k in keys:
         condition = condition & local[k].eqNullSafe(offsets[f"_o{k}"])
     total = F.coalesce(F.col("_offset"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
-    return local.join(offsets, condition, "inner").select(*df.columns, total.cast("bigint").alias(name))
+    extra = [F.col("_grand").alias(grand_total)] if grand_total else []
+    return local.join(offsets, condition, "inner").select(*df.columns, total.cast("bigint").alias(name), *extra)
 
 
-def numeric_bucket(df: DataFrame, column: str, buckets: int = 1024) -> Column:
-    """Order-preserving bucket of a numeric column, from its smallest and largest value.
+def numeric_bucket(value: Column, per_unit: int = 1024) -> Column:
+    """Order-preserving bucket of a number on a logarithmic scale.
 
-    Log-scaled, so that a long tail does not push all values into one bucket.
-    Depends on the data only, never on partitioning, so a repeated task gets the
-    same buckets.
+    It depends on the value alone, so it needs no pass over the data, and the
+    number of buckets is bounded by the range of a double (some hundred for
+    probabilities, some ten thousand for money).
     """
-
-    def scaled(c: Column) -> Column:
-        d = c.cast("double")
-        return F.signum(d) * F.log1p(F.abs(d))
-
-    low = df.agg(scaled(F.min(column))).scalar()
-    high = df.agg(scaled(F.max(column))).scalar()
-    span = F.when(high > low, high - low).otherwise(F.lit(1.0))
-    return F.floor((scaled(F.col(column)) - low) / span * buckets).cast("int")
+    d = value.cast("double")
+    return F.floor(F.signum(d) * F.log1p(F.abs(d)) * per_unit).cast("bigint")
 
 
 def hash_text(*columns: str) -> Column:

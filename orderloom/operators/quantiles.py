@@ -26,15 +26,14 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     order statistics by their rank in a distributed running total.
     """
     counts = value_counts(df, column)
-    ranked = running_total(counts, F.col("n"), numeric_bucket(counts, "v"), [F.col("v")])
-    total = counts.agg(F.sum("n")).scalar()
+    ranked = running_total(counts, F.col("n"), numeric_bucket(F.col("v")), [F.col("v")], grand_total="total")
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("v")))
 
     picked = []
     for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (total - 1)
+        position = F.lit(float(p)) * (F.col("total") - 1)
         low, high = at(F.floor(position)), at(F.ceil(position))
         picked += [low.alias(f"lo{i}"), high.alias(f"hi{i}"), F.max(position - F.floor(position)).alias(f"t{i}")]
     values = [
@@ -60,11 +59,20 @@ def bin_of(value: Column, cuts: Column, bins: int) -> Column:
     return F.when(inside, F.least(reached, last))
 
 
+def _binned(df: DataFrame, column: str, cuts: DataFrame, bins: int, *keep: str) -> DataFrame:
+    """Bin and number of edges beside the kept columns; the edges are one subquery, used once."""
+    return (
+        df.select(F.col(column).cast("double").alias("_v"), *keep)
+        .filter(F.col("_v").isNotNull())
+        .withColumn("_cuts", cuts.scalar())
+        .select(*keep, bin_of(F.col("_v"), F.col("_cuts"), bins).alias("bin"), F.size("_cuts").alias("edges"))
+    )
+
+
 def histogram(df: DataFrame, column: str, cuts: DataFrame, bins: int = 10) -> DataFrame:
     """Rows per bin for the edges in the one-row frame ``cuts``; at most ``bins`` rows."""
-    value = F.col(column).cast("double")
     return (
-        df.select(bin_of(value, cuts.scalar(), bins).alias("bin"))
+        _binned(df, column, cuts, bins)
         .filter(F.col("bin").isNotNull())
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -72,33 +80,35 @@ def histogram(df: DataFrame, column: str, cuts: DataFrame, bins: int = 10) -> Da
 
 
 def psi(baseline: DataFrame, current: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """One row, ``psi_score``: 0 for an empty side, fewer than three edges or a non-finite sum."""
+    """One row, ``psi_score``: 0 for an empty side, fewer than three edges or a non-finite sum.
+
+    Both sides are binned in one pass; values outside the edges are counted under
+    a NULL bin, which only tells that the side is not empty.
+    """
     cuts = decile_cuts(baseline, column, bins)
-    zero = F.lit(0).cast("bigint")
-    sides = (
-        histogram(baseline, column, cuts, bins)
-        .select("bin", F.col("n").alias("e"), zero.alias("a"))
-        .unionByName(histogram(current, column, cuts, bins).select("bin", zero.alias("e"), F.col("n").alias("a")))
+    sides = baseline.select(column, F.lit(1).alias("e"), F.lit(0).alias("a")).unionByName(
+        current.select(column, F.lit(0).alias("e"), F.lit(1).alias("a"))
+    )
+    counts = (
+        _binned(sides, column, cuts, bins, "e", "a")
         .groupBy("bin")
-        .agg(F.sum("e").alias("e"), F.sum("a").alias("a"))
+        .agg(F.sum("e").alias("e"), F.sum("a").alias("a"), F.max("edges").alias("edges"))
     )
-    everything = Window.partitionBy()  # at most ``bins`` rows
+    inside = F.col("bin").isNotNull()
+    everything = Window.partitionBy()  # at most ``bins`` + 1 rows
 
     def share(side: str) -> Column:
-        return F.greatest(
-            F.col(side) / F.greatest(F.sum(side).over(everything), F.lit(1)), F.lit(1e-6)
-        )
-
-    parts = sides.select(share("e").alias("e"), share("a").alias("a"))
-    score = F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e")))
-    sized = F.coalesce(F.size(cuts.scalar()), F.lit(0)) >= 3
-    current_rows = F.coalesce(
-        current.agg(F.max(F.col(column).isNotNull().cast("int"))).scalar(), F.lit(0)
-    )
-    return parts.agg(score.alias("s")).select(
+        total = F.sum(F.when(inside, F.col(side))).over(everything)
+        return F.greatest(F.col(side) / F.greatest(total, F.lit(1)), F.lit(1e-6))
+
+    parts = counts.select(inside.alias("inside"), "edges", F.col("a").alias("rows"), share("e").alias("e"), share("a").alias("a"))
+    term = (F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))
+    score = F.col("s")
+    return parts.agg(
+        F.sum(F.when(F.col("inside"), term)).alias("s"), F.max("edges").alias("edges"), F.sum("rows").alias("rows")
+    ).select(
         F.when(
-            sized & (current_rows == 1) & F.col("s").isNotNull() & ~F.isnan("s") & (F.abs("s") != float("inf")),
-            F.col("s"),
+            (F.col("edges") >= 3) & (F.col("rows") > 0) & ~F.isnan(score) & (F.abs(score) != float("inf")), score
         )
         .otherwise(F.lit(0.0))
         .alias("psi_score")

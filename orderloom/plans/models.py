@@ -53,7 +53,7 @@ def delay_matrix(train: DataFrame) -> DataFrame:
     )
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder: many fits read it, none recomputes it."""
     spark = df.sparkSession
     path = session.scratch_path(spark, name)
@@ -87,7 +87,7 @@ def train_forecast(
     """
     spark = train.sparkSession
     session.ensure_checkpoint_dir(spark)
-    indexed = _stored(splits.time_index(demand_matrix(train)), "demand-matrix")
+    indexed = stored(splits.time_index(demand_matrix(train)), "demand-matrix")
     n = indexed.count()
     if n == 0:
         raise ValueError("no training rows")
@@ -176,7 +176,7 @@ def train_delay(
     """
     spark = train.sparkSession
     session.ensure_checkpoint_dir(spark)
-    folded = _stored(splits.stratified_folds(train, folds=folds), "delay-matrix")
+    folded = stored(splits.stratified_folds(train, folds=folds), "delay-matrix")
     if folded.isEmpty():
         raise ValueError("no training rows")
     rows = []
@@ -185,7 +185,7 @@ def train_delay(
         model = delay_pipeline(trees, depth, drop_leaky).fit(folded.filter(F.col("fold") != f))
         rows.append((int(f), _delay_auc(model, folded.filter(F.col("fold") == f))))
     if not rows:
-        quarters = _stored(splits.stratified_folds(train, folds=4), "delay-holdout")
+        quarters = stored(splits.stratified_folds(train, folds=4), "delay-holdout")
         held_out = quarters.filter(F.col("fold") == 0)
         if held_out.select(DELAY_LABEL).distinct().count() < 2:
             raise ValueError("cannot compute ROC-AUC: the validation rows hold one class only")

@@ -26,19 +26,13 @@ def refresh_tables(
     spark: SparkSession, src: str, dst: str, files: dict[str, str] | None = None
 ) -> dict[str, DataFrame]:
     """Load the files and store every table once, each stage reading what the stage before stored."""
-    raw, rejects = {}, []
-    for table, name in (files or csv_tables.FILES).items():
-        parsed = sinks.full_refresh(csv_tables.parse_csv(spark, table, f"{src}/{name}"), f"{dst}/landed/{table}")
-        raw[table] = csv_tables.good_rows(parsed)
-        rejects.append(csv_tables.rejected_rows(parsed).withColumn("table_name", F.lit(table)))
+    landed = csv_tables.land(spark, src, f"{dst}/landed", files)
+    raw = {table: csv_tables.good_rows(parsed) for table, parsed in landed.items()}
     stored = {
         table: sinks.full_refresh(df, f"{dst}/staging/{table}") for table, df in staging.build_staging(raw).items()
     }
     tables = {f"stg_{name}": df for name, df in stored.items()}
-    all_rejects = rejects[0]
-    for part in rejects[1:]:
-        all_rejects = all_rejects.unionByName(part)
-    tables["rejects"] = sinks.full_refresh(all_rejects, f"{dst}/rejects")
+    tables["rejects"] = sinks.full_refresh(csv_tables.rejects_by_table(landed), f"{dst}/rejects")
 
     fct = marts.fct_orders(stored).withColumn(
         "order_month", F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit("unknown"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .. import schemas
+from .. import schemas, session
 from ..functions.casts import null_if_marker
 
 REJECT = "_corrupt_record"
@@ -57,26 +59,45 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(REJECT).isNotNull()).select(F.col(first).alias("first_field"), F.col(REJECT).alias("line"))
 
 
+def land(
+    spark: SparkSession,
+    directory: str,
+    landed: str,
+    files: dict[str, str] | None = None,
+    multi_line: bool | None = None,
+) -> dict[str, DataFrame]:
+    """Parse the files once and store them by table, rejects included.
+
+    Later reads of the stored tables prune columns and count rejects without
+    parsing the text again.
+    """
+    stored = {}
+    for table, name in (files or FILES).items():
+        path = f"{landed}/{table}"
+        parse_csv(spark, table, f"{directory}/{name}", multi_line).write.mode("overwrite").parquet(path)
+        stored[table] = spark.read.parquet(path)
+    return stored
+
+
 def load_raw(
-    spark: SparkSession, directory: str, files: dict[str, str] | None = None, multi_line: bool | None = None
+    spark: SparkSession,
+    directory: str,
+    landed: str | None = None,
+    files: dict[str, str] | None = None,
+    multi_line: bool | None = None,
 ) -> dict[str, DataFrame]:
     """The eight raw tables of a directory; bad rows are left out and the rest loads."""
-    return {
-        table: good_rows(parse_csv(spark, table, f"{directory}/{name}", multi_line))
-        for table, name in (files or FILES).items()
-    }
+    stored = land(spark, directory, landed or session.scratch_path(spark, "landed"), files, multi_line)
+    return {table: good_rows(parsed) for table, parsed in stored.items()}
 
 
-def load_rejects(spark: SparkSession, directory: str, files: dict[str, str] | None = None) -> DataFrame:
-    """Rejected rows of all tables."""
+def rejects_by_table(landed: dict[str, DataFrame]) -> DataFrame:
+    """Rejected rows of all landed tables."""
     parts = [
-        rejected_rows(parse_csv(spark, table, f"{directory}/{name}")).select(F.lit(table).alias("table_name"), "first_field", "line")
-        for table, name in (files or FILES).items()
+        rejected_rows(parsed).select(F.lit(table).alias("table_name"), "first_field", "line")
+        for table, parsed in landed.items()
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
