@@ -31,7 +31,7 @@ from orderloom.streaming import orders as order_streams  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = datetime(2024, 1, 1)
-STATE = "BRAZIL"
+STATE = "NATION_3"
 # Model sizes of the registered queries; the library defaults are the full sizes.
 TREES, DEPTH = 5, 4
 

@@ -277,11 +277,11 @@ select *, case when delay_risk_score >= 0.8 then 'Very High' when delay_risk_sco
   when delay_risk_score >= 0.3 then 'Medium' else 'Low' end as risk_bucket from risk"""
 _BODIES["risk_heatmap"] = """
 select customer_state, payment_type, round(avg(delay_risk_score), 9) as avg_risk from risk group by 1, 2"""
-_BODIES["forecast_by_state"] = "select * from forecast where customer_state = 'BRAZIL'"
+_BODIES["forecast_by_state"] = "select * from forecast where customer_state = 'NATION_3'"
 _BODIES["actual_vs_forecast"] = """
 select coalesce(d.kpi_date, f.forecast_date) as day, d.total_orders as actual_orders, f.p as predicted_orders_7d
 from daily d full join (select forecast_date, sum(predicted_orders_7d) as p from forecast
-  where customer_state = 'BRAZIL' group by 1) f on d.kpi_date = f.forecast_date"""
+  where customer_state = 'NATION_3' group by 1) f on d.kpi_date = f.forecast_date"""
 
 # --------------------------------------------------------------------- changes, streaming
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import kpis
@@ -51,7 +53,7 @@ def _delay_flag() -> Column:
     return F.when(delivered.isNotNull() & promised.isNotNull(), (delivered > promised).cast("int"))
 
 
-def fct_orders(staging: dict[str, DataFrame]) -> DataFrame:
+def fct_orders(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Order-grain fact.
 
     The three detail tables are summed per order before they are joined, so every

@@ -7,11 +7,44 @@ Values depend on keys only.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# Declared, so that opening a table starts no job; only the columns in use.
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+}
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+class LazyTables(Mapping[str, DataFrame]):
+    """Named frames, each built when it is first asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = makers
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._makers[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
 def _add(unit: str, amount: str, ts: str) -> Column:
@@ -169,8 +202,8 @@ _TABLES = {
 }
 
 
-def typed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: make(spark, sf_dir) for name, make in _TABLES.items()}
+def typed_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    return LazyTables({name: (lambda make=make: make(spark, sf_dir)) for name, make in _TABLES.items()})
 
 
 def _text(ts: str) -> Column:
@@ -182,15 +215,15 @@ def _damage(value: Column, every: int, text: str, key: str = "order_id") -> Colu
     return F.when(F.col(key).cast("bigint") % every == 0, F.lit(text)).otherwise(value)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     """The data set as text, before any cast."""
     t = typed_tables(spark, sf_dir)
     price = _damage(
         _damage(_damage(F.col("price").cast("string"), 83, "1.005"), 89, ""), 97, "n/a"
     )
     null_text = F.lit(None).cast("string")
-    return {
-        "orders": t["orders"].select(
+    return LazyTables({
+        "orders": lambda: t["orders"].select(
             "order_id",
             "customer_id",
             "order_status",
@@ -200,7 +233,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             _damage(_text("order_delivered_customer_ts"), 73, "").alias("order_delivered_customer_date"),
             _text("order_estimated_delivery_ts").alias("order_estimated_delivery_date"),
         ),
-        "order_items": t["order_items"].select(
+        "order_items": lambda: t["order_items"].select(
             "order_id",
             _damage(F.col("order_item_id").cast("string"), 67, "1.7").alias("order_item_id"),
             "product_id",
@@ -211,15 +244,15 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             price.alias("price"),
             F.col("freight_value").cast("string").alias("freight_value"),
         ),
-        "payments": t["payments"].select(
+        "payments": lambda: t["payments"].select(
             "order_id",
             F.col("payment_sequential").cast("string").alias("payment_sequential"),
             "payment_type",
             _damage(F.col("payment_installments").cast("string"), 61, "many").alias("payment_installments"),
             _damage(F.col("payment_value").cast("string"), 97, "n/a").alias("payment_value"),
         ),
-        "customers": t["customers"],
-        "products": t["products"].select(
+        "customers": lambda: t["customers"],
+        "products": lambda: t["products"].select(
             "product_id",
             "product_category_name",
             F.length("product_category_name").cast("string").alias("product_name_lenght"),
@@ -230,7 +263,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.col("product_height_cm").cast("string").alias("product_height_cm"),
             F.col("product_width_cm").cast("string").alias("product_width_cm"),
         ),
-        "reviews": t["reviews"].select(
+        "reviews": lambda: t["reviews"].select(
             "review_id",
             "order_id",
             _damage(F.col("review_score").cast("string"), 101, "five").alias("review_score"),
@@ -241,8 +274,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                 "review_answer_timestamp"
             ),
         ),
-        "sellers": t["sellers"],
-        "geolocation": t["geolocation"].select(
+        "sellers": lambda: t["sellers"],
+        "geolocation": lambda: t["geolocation"].select(
             "geolocation_zip_code_prefix",
             _damage(F.col("geolocation_lat").cast("string"), 53, "south", "geolocation_zip_code_prefix").alias(
                 "geolocation_lat"
@@ -251,4 +284,4 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "geolocation_city",
             "geolocation_state",
         ),
-    }
+    })

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,7 +42,7 @@ def _affected_orders(orders: DataFrame, days: DataFrame, months: list[str]) -> D
     )
 
 
-def refresh_days(orders: DataFrame, details: dict[str, DataFrame]) -> DataFrame:
+def refresh_days(orders: DataFrame, details: Mapping[str, DataFrame]) -> DataFrame:
     """Daily KPIs of the given orders. Detail rows of other orders are dropped before
     they are summed, so a small batch does not shuffle whole detail tables."""
     ids = orders.select("order_id").distinct()
@@ -51,7 +53,7 @@ def refresh_days(orders: DataFrame, details: dict[str, DataFrame]) -> DataFrame:
 
 
 def stream_daily_kpi(
-    raw: DataFrame, details: dict[str, DataFrame], orders_path: str, kpi_path: str, checkpoint: str
+    raw: DataFrame, details: Mapping[str, DataFrame], orders_path: str, kpi_path: str, checkpoint: str
 ) -> StreamingQuery:
     """Keep daily KPIs current while orders arrive.
 
