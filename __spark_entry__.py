@@ -131,7 +131,7 @@ class Tables:
 
     @cached_property
     def drift(self) -> DataFrame:
-        return models.stored(registry.drift_score(*self.payment_periods), "drift")
+        return sinks.stored(registry.drift_score(*self.payment_periods), "drift")
 
     @property
     def audit(self) -> DataFrame:
@@ -161,7 +161,7 @@ class Tables:
         scores = forecast.select(F.lit("forecast").alias("model_type"), "*").unionByName(
             on_time.select(F.lit("delay_risk").alias("model_type"), "*")
         )
-        return models.stored(scores, "monthly-scores")
+        return sinks.stored(scores, "monthly-scores")
 
     @property
     def registry(self) -> DataFrame:
@@ -270,14 +270,14 @@ def _registry_promote(t: Tables) -> DataFrame:
 
 
 def _time_series_folds(t: Tables) -> DataFrame:
-    indexed = models.stored(splits.time_index(t.demand_train), "time-index")
+    indexed = sinks.stored(splits.time_index(sinks.stored(t.demand_train, "demand-train")), "time-index")
     return splits.time_series_folds(indexed, splits.time_fold_plan(indexed.count())).withColumns(
         {c: F.col(c).cast("double") for c in ("train_target", "validation_target")}
     )
 
 
 def _fold_mean(t: Tables) -> DataFrame:
-    indexed = models.stored(models.naive_forecast(splits.time_index(t.demand_train)), "time-index")
+    indexed = sinks.stored(models.naive_forecast(splits.time_index(sinks.stored(t.demand_train, "demand-train"))), "time-index")
     folds = splits.time_fold_plan(indexed.count())
     i = F.col("row_index")
     fold = F.lit(None)
@@ -341,7 +341,7 @@ def _forecast_scores(t: Tables) -> DataFrame:
 
 def _delay_model(t: Tables):
     session.ensure_checkpoint_dir(t.spark)
-    train = models.stored(t.delay_train, "delay-train")
+    train = sinks.stored(t.delay_train, "delay-train")
     return models.delay_pipeline(TREES, DEPTH).fit(train)
 
 
@@ -383,7 +383,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "drift_samples": lambda t: features.drift_sample(t.stg["payments"]),
     "demand_matrix": lambda t: models.demand_matrix(t.demand_train),
     "delay_matrix": lambda t: models.delay_matrix(t.delay_train),
-    "time_index": lambda t: splits.time_index(t.demand_train).select(
+    "time_index": lambda t: splits.time_index(sinks.stored(t.demand_train, "demand-train")).select(
         "kpi_date", "customer_state", "product_category_name", "row_index"
     ),
     "time_series_folds": _time_series_folds,

@@ -26,7 +26,8 @@ def running_total(
     Rows are ordered by ``bucket``, then ``order``; totals restart for each
     combination of ``within``. ``bucket`` must be deterministic and its number
     of values bounded, and must not contradict ``order``. ``grand_total`` names a
-    column for the sum over all rows.
+    column for the sum over all rows. ``df`` is read twice; store it first when it
+    is costly to compute.
     """
     keys = [*within, "_bucket"]
     rows = df.withColumn("_bucket", bucket).withColumn("_weight", weight.cast("bigint"))

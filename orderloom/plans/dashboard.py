@@ -19,9 +19,12 @@ def latest(df: DataFrame, day: str) -> Column:
     return df.agg(F.max(day)).scalar()
 
 
-def in_window(df: DataFrame, day: str = "kpi_date", last_n_days: int = LAST_N_DAYS) -> DataFrame:
-    """Rows of the last n days up to the newest day, both ends included."""
-    return df.filter(F.col(day) >= F.date_sub(latest(df, day), last_n_days))
+def in_window(
+    df: DataFrame, day: str = "kpi_date", last_n_days: int = LAST_N_DAYS, states: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of the last n days up to the table's newest day, both ends included, optionally for some states."""
+    rows = df.filter(F.col(day) >= F.date_sub(latest(df, day), last_n_days))
+    return rows.filter(F.col("customer_state").isin(*states)) if states else rows
 
 
 def latest_day_flag(exec_rows: DataFrame) -> DataFrame:
@@ -87,10 +90,12 @@ def headline_kpis(fct: DataFrame, states: Sequence[str] | None = None) -> DataFr
     )
 
 
-def top_states(exec_rows: DataFrame, n: int = 10, last_n_days: int = LAST_N_DAYS) -> DataFrame:
+def top_states(
+    exec_rows: DataFrame, n: int = 10, last_n_days: int = LAST_N_DAYS, states: Sequence[str] | None = None
+) -> DataFrame:
     """The n states with the highest GMV in the window."""
     return (
-        in_window(exec_rows, last_n_days=last_n_days)
+        in_window(exec_rows, last_n_days=last_n_days, states=states)
         .groupBy("customer_state")
         .agg(F.sum("gmv").alias("gmv"), F.sum("total_orders").alias("total_orders"))
         .orderBy(F.desc("gmv"), F.asc("customer_state"))
@@ -138,6 +143,11 @@ def actual_vs_forecast(daily: DataFrame, forecast: DataFrame, state: str = FOREC
     return actual.join(predicted, "day", "full")
 
 
+def champion_rows(registry: DataFrame, model_type: str) -> DataFrame:
+    """All champion rows of a model type, as the registry table shows them."""
+    return registry.filter((F.col("model_type") == model_type) & F.col("is_champion"))
+
+
 def drift_flagged(audit: DataFrame) -> DataFrame:
     return audit.filter(F.col("drift_flag"))
 

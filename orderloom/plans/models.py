@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import schemas, session
 from ..functions import metrics
 from ..functions.clock import moment
+from ..sources.sinks import stored
 from . import splits
 
 DEMAND_FEATURES = [
@@ -53,14 +54,6 @@ def delay_matrix(train: DataFrame) -> DataFrame:
     )
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder: many fits read it, none recomputes it."""
-    spark = df.sparkSession
-    path = session.scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 # ---------------------------------------------------------------- demand model
 
 
@@ -162,7 +155,8 @@ def _late_probability() -> Column:
 
 
 def _delay_auc(model: PipelineModel, rows: DataFrame) -> float:
-    scored = model.transform(rows).select(_late_probability().alias("p"), F.col(DELAY_LABEL))
+    # Stored, because the metric reads the scores twice and predicting is the costly part.
+    scored = stored(model.transform(rows).select(_late_probability().alias("p"), F.col(DELAY_LABEL)), "scores")
     return metrics.roc_auc(scored, "p", DELAY_LABEL).first()[0]
 
 

@@ -18,13 +18,18 @@ RUNTIME_SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
+# Only settable when the session starts. Without it every column expression walks
+# the Python stack, which for plans of some hundred expressions costs more than
+# planning them.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app_name: str = "orderloom", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the engine's settings; extra ``settings`` use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in RUNTIME_SETTINGS.items():
+    for key, value in {**START_SETTINGS, **RUNTIME_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .. import schemas
+from .. import schemas, session
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder and read back: several readers, one computation,
+    and a lost executor repeats no upstream work."""
+    path = session.scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:

@@ -75,7 +75,7 @@ def stream_daily_kpi(
             .partitionBy("batch_id", "order_month")
             .parquet(orders_path)
         )
-        stored = spark.read.parquet(orders_path).filter(F.col("batch_id") <= batch_id)
+        stored = spark.read.schema(staged.schema).parquet(orders_path).filter(F.col("batch_id") <= batch_id)
         days = (
             stored.filter((F.col("batch_id") == batch_id) & F.col("order_purchase_ts").isNotNull())
             .select(F.col("order_purchase_ts").cast("date").alias("order_date"), "order_month")
