@@ -188,9 +188,9 @@ from (select fold, count(*) filter (where is_delayed = 1) as val_pos, count(*) f
   from stratified group by fold)"""
 _APE = """abs(greatest(target_orders_next_7d::double, 1e-8) - greatest(coalesce(lag_7_orders, 0)::double, 1e-8))
   / greatest(target_orders_next_7d::double, 1e-8)"""
-_BODIES["metric_mape"] = f"select customer_state, round(avg({_APE}), 9) as mape from demand_train group by 1"
+_BODIES["metric_mape"] = f"select customer_state, round(avg({_APE}), 6) as mape from demand_train group by 1"
 _BODIES["metric_fold_mean"] = f"""
-select round(avg(score), 9) as metric_value from (select fold, avg({_APE}) as score
+select round(avg(score), 6) as metric_value from (select fold, avg({_APE}) as score
   from time_indexed, time_folds where row_index >= lo and row_index < hi group by fold)"""
 _BODIES["metric_auc"] = """
 select round((sum(rk) filter (where y = 1) - p * (p + 1) / 2) / (p * n), 12) as roc_auc from (
@@ -276,7 +276,7 @@ _BODIES["risk_buckets"] = """
 select *, case when delay_risk_score >= 0.8 then 'Very High' when delay_risk_score >= 0.6 then 'High'
   when delay_risk_score >= 0.3 then 'Medium' else 'Low' end as risk_bucket from risk"""
 _BODIES["risk_heatmap"] = """
-select customer_state, payment_type, round(avg(delay_risk_score), 9) as avg_risk from risk group by 1, 2"""
+select customer_state, payment_type, round(avg(delay_risk_score), 12) as avg_risk from risk group by 1, 2"""
 _BODIES["forecast_by_state"] = "select * from forecast where customer_state = 'NATION_3'"
 _BODIES["actual_vs_forecast"] = """
 select coalesce(d.kpi_date, f.forecast_date) as day, d.total_orders as actual_orders, f.p as predicted_orders_7d

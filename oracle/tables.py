@@ -302,10 +302,10 @@ union all select timestamp '2024-01-01 00:00:00', 'purchase_day', psi_score, psi
 VIEWS["monthly_scores"] = """
 select 'forecast' as model_type, strftime(kpi_date, '%Y-%m') as month,
   round(avg(abs(greatest(target_orders_next_7d::double, 1e-8) - greatest(coalesce(lag_7_orders, 0)::double, 1e-8))
-    / greatest(target_orders_next_7d::double, 1e-8)), 9) as metric_value
+    / greatest(target_orders_next_7d::double, 1e-8)), 6) as metric_value
 from demand_train group by 2
 union all
-select 'delay_risk', strftime(order_date, '%Y-%m'), round(1 - avg(cast(is_delayed as double)), 9)
+select 'delay_risk', strftime(order_date, '%Y-%m'), round(1 - avg(cast(is_delayed as double)), 6)
 from fct where order_date is not null group by 2"""
 
 VIEWS["registry"] = """
