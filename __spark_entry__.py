@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -451,9 +452,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["exec_dashboard"](spark, SMOKE_DIR)
 
 
+def _optional(module: str):
+    """The module, or None where it or a package above it is not there."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as error:
+        if error.name and f"{module}.".startswith(f"{error.name}."):
+            return None
+        raise
+
+
 def queries() -> dict[str, Query]:
-    return {name: _query(build) for name, build in _QUERIES.items()}
+    found = {name: _query(build) for name, build in _QUERIES.items()}
+    if text := _optional("orderloom.llm.queries"):
+        found |= text.queries()
+    if pipeline := _optional("corpus_pipeline"):
+        found["pipeline"] = pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(STATEMENTS)
+    found = dict(STATEMENTS)
+    if text := _optional("orderloom.llm.queries"):
+        found |= text.oracle_sql()
+    if (pipeline := _optional("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
