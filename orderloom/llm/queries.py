@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, ngram_join
 
-MODULES = [exact_dedup]
+MODULES = [exact_dedup, ngram_join]
 
 
 def queries() -> dict:
