@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, ngram_join
+from . import exact_dedup, language_id, ngram_join, packing
 
-MODULES = [exact_dedup, ngram_join]
+MODULES = [packing, ngram_join, language_id, exact_dedup]
 
 
 def queries() -> dict:
