@@ -123,7 +123,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     names = stored(document_names(docs, id_col, text_col, block_chars), "document-names")
     group = ["_n", "_name"]
-    groups = names.groupBy(*group).agg(F.sum("_copies").alias("group_size"), F.max("_id").alias("keep_id"))
+    # Stored, so that the join below is between two plain exchanges and splits a hot group.
+    groups = stored(names.groupBy(*group).agg(F.sum("_copies").alias("group_size"), F.max("_id").alias("keep_id")), "groups")
     rows = names.join(groups, group).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return rows.select(
         F.col("_id").alias("doc_id"),
