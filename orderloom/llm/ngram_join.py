@@ -7,7 +7,9 @@
    get; the order only has to be the same everywhere, so a shared bucket does no harm.
 3. Two sets at or above the threshold share a shingle of their prefixes. Classes of equal
    size and prefix form a group, and only groups are indexed and paired.
-4. Pairs of groups are expanded to members and verified on whole sets.
+4. Pairs of groups are expanded to members. A pair whose sizes, or whose counts of
+   shingles by the top byte of the hash, rule out the threshold is left out; the others
+   are verified on whole sets, which are read again for their members only.
 
 Components are asked for, not all links, so pairs are formed in rounds and a pair whose
 ends are already connected is not formed again: first each group with the pivots of its
@@ -32,6 +34,8 @@ from .components import components
 
 #: Size of the frequency table that tasks get; fixed, whatever the input.
 BUCKETS = 1 << 18
+#: A table of ids of at most so many rows (16 bytes each) is broadcast, a larger one is shuffled.
+BROADCAST_ROWS = 1_000_000
 _WORDS_AT_ONCE = 200_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _SLICE = 1 << 20
@@ -135,6 +139,12 @@ def _frequencies(texts: DataFrame, width: int) -> np.ndarray:
     return found
 
 
+def _sketch(own: np.ndarray) -> bytes | None:
+    """Number of shingles by the top byte of the hash; none for sets too large for bytes."""
+    counts = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=256)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
 def _sets_of(batch: pa.RecordBatch, width: int) -> tuple[list[np.ndarray], dict]:
     sets = list(shingle_sets(strings(batch["_text"]).to_pylist(), width))
     digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -158,10 +168,11 @@ def _profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
             yield pa.record_batch(
                 {"_id": batch["_id"], "_text_hash": batch["_text_hash"], **found}
                 | {"g1": groups[:, 0].copy(), "g2": groups[:, 1].copy(), "prefix": _lists(prefixes)}
+                | {"sketch": pa.array([_sketch(s) for s in sets], pa.binary())}
             )
 
     id_type = texts.schema["_id"].dataType.simpleString()
-    schema = f"_id {id_type}, _text_hash long, n long, d1 long, d2 long, g1 long, g2 long, prefix array<long>"
+    schema = f"_id {id_type}, _text_hash long, n long, d1 long, d2 long, g1 long, g2 long, prefix array<long>, sketch binary"
     return texts.mapInArrow(profile, schema)
 
 
@@ -175,13 +186,34 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     rows = texts.select("_id", "_text", "_text_hash").alias("t")
     on = F.col("t._id").eqNullSafe(F.col("w._id")) & (F.col("t._text_hash") == F.col("w._text_hash"))
-    one = rows.join(wanted.select("_id", "_text_hash").alias("w"), on, "left_semi")
+    ids = wanted.select("_id", "_text_hash")
+    ids = F.broadcast(ids) if wanted.count() <= BROADCAST_ROWS else ids
+    one = rows.join(ids.alias("w"), on, "left_semi")
     sets = one.select("_text").mapInArrow(read, "n long, d1 long, d2 long, tokens array<long>")
     found = sets.join(wanted.select("node", "d1", "d2", F.col("n").alias("_n")), ["d1", "d2"]).filter("n = _n")
     # A repeated row gives the same set twice.
     return found.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
 
 
+def _possible(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose counts by hash byte allow the threshold: the smaller count of each byte bounds what is shared."""
+
+    def bound(batches):
+        for batch in batches:
+            a, b = batch["sketcha"].to_pylist(), batch["sketchb"].to_pylist()
+            known = np.array([x is not None and y is not None for x, y in zip(a, b)], bool)
+            rows = np.flatnonzero(known)
+            most = batch["na"].to_numpy() + batch["nb"].to_numpy()
+            for k in range(0, len(rows), 4096):
+                part = rows[k : k + 4096]
+                x, y = (np.frombuffer(b"".join(side[i] for i in part), np.uint8).reshape(-1, 256) for side in (a, b))
+                same = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                known[part] = same * 100 < (most[part] - same) * percent
+            yield pa.record_batch({"a": batch["a"], "b": batch["b"]}).filter(pa.array(~known))
+
+    return pairs.select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(bound, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
@@ -210,17 +242,17 @@ class _Join:
         # One document of each class: its smallest id, and the smallest hash among equal ids.
         self.classes = stored(
             filled.groupBy("n", "d1", "d2", "g1", "g2")
-            .agg(F.min(F.struct("_id", "_text_hash")).alias("_first"))
-            .select("n", "d1", "d2", "g1", "g2", "_first._id", "_first._text_hash", F.monotonically_increasing_id().alias("node")),
+            .agg(F.min(F.struct("_id", "_text_hash")).alias("_row"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
+            .select(
+                *("n", "d1", "d2", "g1", "g2", "_row._id", "_row._text_hash", "prefix", "sketch"),
+                F.monotonically_increasing_id().alias("node"),
+            ),
             "classes",
         )
         groups = self.classes.groupBy("n", "g1", "g2").agg(F.min("node").alias("grp"))
-        self.members = stored(self.classes.join(groups, ["n", "g1", "g2"]).select("node", "grp", "n"), "members")
-        heads = self.classes.join(self.members.filter("node = grp").select("node"), "node")
-        first = filled.select("n", "d1", "d2", "_id", "_text_hash", "prefix").alias("r")
-        on = [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("n", "d1", "d2", "_id", "_text_hash")]
-        heads = first.join(heads.alias("h"), on).select(F.col("h.node").alias("grp"), "prefix")
-        self.index = self._index(heads)
+        self.members = stored(self.classes.select("node", "n", "g1", "g2").join(groups, ["n", "g1", "g2"]).select("node", "grp", "n"), "members")
+        heads = self.classes.select("node", "prefix").join(self.members.filter("node = grp").select("node"), "node")
+        self.index = self._index(heads.select(F.col("node").alias("grp"), "prefix"))
 
     def _index(self, heads: DataFrame) -> DataFrame:
         """``token, grp, uses, pivot`` for the shingles that several groups have in their prefixes.
@@ -228,7 +260,7 @@ class _Join:
         The pivot of a shingle is one of its groups, chosen by the shingle's own bits so that
         the shingles of a cluster have different pivots.
         """
-        entries = heads.select("grp", F.explode("prefix").alias("token")).distinct()
+        entries = heads.select("grp", F.explode("prefix").alias("token"))
         mask = F.shiftrightunsigned(F.xxhash64("token"), 2)
         shared = entries.groupBy("token").agg(
             F.count("*").alias("uses"), F.min(F.col("grp").bitwiseXOR(mask)).alias("low")
@@ -241,19 +273,20 @@ class _Join:
         return pairs.join(self.members.select("grp", F.col("node").alias("a")), "grp").select("a", F.col("pivot").alias("b"))
 
     def fitting(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes allow the threshold and that are not connected yet."""
-        side = self.members.join(labels, "node").select("node", "n", "label")
+        """Distinct pairs that may reach the threshold and are not connected yet."""
+        side = self.classes.select("node", "n", "sketch").join(labels, "node")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
         for end in "ab":
             pairs = pairs.join(side.select(*[F.col(c).alias(c + end) for c in side.columns]).withColumnRenamed(f"node{end}", end), end)
         sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        return pairs.filter(sizes & (F.col("labela") != F.col("labelb"))).select("a", "b")
+        return _possible(pairs.filter(sizes & (F.col("labela") != F.col("labelb"))), self.percent)
 
     def linked(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Labels after a round over the given candidate pairs."""
         pairs = stored(self.fitting(pairs, labels), "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = stored(self.classes.join(ends, "node"), "wanted")
+        wanted = self.classes.select("node", "n", "d1", "d2", "_id", "_text_hash").join(ends, "node")
+        wanted = stored(wanted, "wanted")
         if wanted.isEmpty():
             return labels
         sets = stored(_full_sets(self.texts, wanted, self.width), "sets")
