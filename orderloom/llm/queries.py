@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination, exact_dedup, language_id, ngram_join, packing
+from . import decontamination, exact_dedup, language_id, ngram_join, packing, toxicity
 
-MODULES = [decontamination, packing, ngram_join, language_id, exact_dedup]
+MODULES = [decontamination, packing, ngram_join, language_id, exact_dedup, toxicity]
 
 
 def queries() -> dict:
