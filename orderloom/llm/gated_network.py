@@ -86,6 +86,7 @@ class Network:
             return (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
 
         self.vocabulary = vocabulary
+        self.curve = (1.0, 0.0)  # from largest logits to probabilities
         inputs = WORD_DIM + CHAR_DIM
         self.p = {
             "word": (0.1 * rng.standard_normal((len(vocabulary.words) + 1, WORD_DIM))).astype(np.float32),
