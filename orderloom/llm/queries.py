@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination, exact_dedup, language_id, ngram_join, packing, toxicity
+from . import chat, decontamination, exact_dedup, language_id, licences, ngram_join, packing, toxicity
 
-MODULES = [decontamination, packing, ngram_join, language_id, exact_dedup, toxicity]
+MODULES = [decontamination, packing, ngram_join, licences, language_id, exact_dedup, toxicity, chat]
 
 
 def queries() -> dict:
