@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, exact_dedup, language_id, licences, line_dedup, ngram_join, packing, toxicity
+from . import (
+    chat,
+    decontamination,
+    exact_dedup,
+    html_text,
+    language_id,
+    licences,
+    line_dedup,
+    ngram_join,
+    packing,
+    toxicity,
+)
 
-MODULES = [decontamination, packing, ngram_join, licences, language_id, line_dedup, exact_dedup, toxicity, chat]
+MODULES = [decontamination, packing, html_text, ngram_join, licences, language_id, line_dedup, exact_dedup, toxicity, chat]
 
 
 def queries() -> dict:
