@@ -11,7 +11,7 @@ from ..sources.sinks import stored
 __all__ = ["chunk_of", "prepare", "read_table", "stored", "text_of"]
 
 #: One Arrow batch holds at most so many rows or about so many bytes, whichever comes first.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

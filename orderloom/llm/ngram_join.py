@@ -4,7 +4,9 @@
    batches). Documents with the same set are one class; copies go no further.
 2. Shingles are ordered by document frequency, rare ones first. Frequencies are counted
    over all documents in ``BUCKETS`` hash buckets, a table of fixed size that the tasks
-   get; the order only has to be the same everywhere, so a shared bucket does no harm.
+   get. Shingles of a passage that buckets do not tell from others show when prefixes by
+   this order are counted: the ``COMMON`` most frequent ones go last in the final order.
+   An order only has to be the same everywhere, so neither table's size affects results.
 3. Two sets at or above the threshold share a shingle of their prefixes. Classes of equal
    size and prefix form a group, and only groups are indexed and paired.
 4. Pairs of groups are expanded to members. A pair whose sizes, or whose counts of
@@ -34,6 +36,10 @@ from .components import components
 
 #: Size of the frequency table that tasks get; fixed, whatever the input.
 BUCKETS = 1 << 18
+#: Shingles whose exact number of prefixes decides their place; fixed, whatever the input.
+COMMON = 200_000
+#: In fewer prefixes than this a shingle is not common.
+COMMON_USES = 8
 #: A table of ids of at most so many rows (16 bytes each) is broadcast, a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
 _WORDS_AT_ONCE = 200_000
@@ -152,18 +158,47 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> tuple[list[np.ndarray], dict]
     return sets, {"n": np.array([len(s) for s in sets], np.int64), "d1": pairs[:, 0].copy(), "d2": pairs[:, 1].copy()}
 
 
+class _Order:
+    """Rare shingles first: by bucket count, the common ones after all others by their uses."""
+
+    def __init__(self, buckets: np.ndarray, common: np.ndarray, uses: np.ndarray):
+        self.buckets, order = buckets, np.argsort(common)
+        self.common, self.uses = common[order], uses[order]
+
+    def prefix(self, own: np.ndarray, percent: int) -> np.ndarray:
+        """So many shingles that two sets at the threshold have one of them in common."""
+        length = len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0
+        rank = self.buckets[_bucket(own)]
+        if len(self.common) and len(own):
+            at = np.minimum(np.searchsorted(self.common, own), len(self.common) - 1)
+            rank = np.where(self.common[at] == own, (1 << 62) + self.uses[at], rank)
+        return own[np.argsort(rank, kind="stable")[:length]]
+
+
+def _order(texts: DataFrame, width: int, percent: int) -> _Order:
+    empty = np.zeros(0, np.int64)
+    first = _Order(_frequencies(texts, width), empty.view(np.uint64), empty)
+    shared = texts.sparkSession.sparkContext.broadcast(first)
+
+    def tokens(batches):
+        for batch in batches:
+            sets = shingle_sets(strings(batch["_text"]).to_pylist(), width)
+            found, uses = np.unique(np.concatenate([shared.value.prefix(s, percent) for s in sets]), return_counts=True)
+            yield pa.record_batch({"token": _signed(found), "uses": uses})
+
+    counted = texts.select("_text").mapInArrow(tokens, "token long, uses long").groupBy("token").agg(F.sum("uses").alias("uses"))
+    common = counted.filter(F.col("uses") >= COMMON_USES).orderBy(F.desc("uses"), "token").limit(COMMON).toArrow()
+    return _Order(first.buckets, common["token"].to_numpy().view(np.uint64), common["uses"].to_numpy())
+
+
 def _profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """For each row: set size, set digest, prefix and prefix digest."""
-    frequency = texts.sparkSession.sparkContext.broadcast(_frequencies(texts, width))
+    order = texts.sparkSession.sparkContext.broadcast(_order(texts, width, percent))
 
     def profile(batches):
-        rank = frequency.value
         for batch in batches:
             sets, found = _sets_of(batch, width)
-            prefixes = []
-            for s in sets:
-                length = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                prefixes.append(s[np.argsort(rank[_bucket(s)], kind="stable")[:length]])
+            prefixes = [order.value.prefix(s, percent) for s in sets]
             groups = np.frombuffer(b"".join(xxhash.xxh3_128_digest(p.tobytes()) for p in prefixes), np.int64).reshape(-1, 2)
             yield pa.record_batch(
                 {"_id": batch["_id"], "_text_hash": batch["_text_hash"], **found}
