@@ -6,7 +6,7 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -61,6 +61,15 @@ def _rounded(df: DataFrame, column: str, digits: int) -> DataFrame:
     return df.withColumn(column, F.round(F.col(column).cast("double"), digits))
 
 
+def _two_runs(older: DataFrame, newer: DataFrame) -> DataFrame:
+    """Both runs with version and time; versions compare against the order of the times."""
+    runs = [("v9", RUN_TS, older), ("v10", RUN_TS + timedelta(days=1), newer)]
+    first, second = (
+        df.withColumns({"model_version": F.lit(v), "scored_at": F.lit(at).cast("timestamp_ntz")}) for v, at, df in runs
+    )
+    return first.unionByName(second)
+
+
 class Tables:
     """The intermediate frames that queries share, as lazy plans."""
 
@@ -123,6 +132,19 @@ class Tables:
             F.col("lag_7_orders").cast("double").alias("predicted_orders_7d"),
         )
 
+    @property
+    def risk_runs(self) -> DataFrame:
+        """Two scoring runs; the older one has other scores."""
+        half = (F.col("delay_risk_score") / 2).alias("delay_risk_score")
+        names = [c for c in self.risk.columns if c != "delay_risk_score"]
+        return _two_runs(self.risk.select(*names, half), self.risk)
+
+    @property
+    def forecast_runs(self) -> DataFrame:
+        more = (F.col("predicted_orders_7d") + 1).alias("predicted_orders_7d")
+        names = [c for c in self.forecast.columns if c != "predicted_orders_7d"]
+        return _two_runs(self.forecast.select(*names, more), self.forecast)
+
     # ------------------------------------------------------------------- drift inputs
 
     def _by_period(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -227,7 +249,7 @@ class Tables:
         return rows.select(
             F.col("kpi_date").alias("brief_date"),
             F.col("kpi_date").cast("timestamp_ntz").alias("generated_at"),
-            F.to_json(F.struct("total_orders", "gmv", "aov")).alias("kpi_json"),
+            F.to_json(F.struct("total_orders")).alias("kpi_json"),
             F.lit("").alias("ai_summary"),
             F.lit("automated_pipeline").alias("channel"),
             F.concat(F.lit("run-"), F.col("kpi_date").cast("string")).alias("run_id"),
@@ -263,15 +285,56 @@ def _append(t: Tables) -> DataFrame:
     briefs = t.briefs(t.daily)
     early = F.col("brief_date") < F.lit("1998-01-01").cast("date")
     sinks.append(briefs.filter(early), path, schema)
-    return sinks.append(briefs.filter(~early), path, schema).select("brief_date", "generated_at", "channel", "run_id")
+    return sinks.append(briefs.filter(~early), path, schema)
 
 
 def _registry_promote(t: Tables) -> DataFrame:
     path = t.path("registry")
-    sinks.write_version(t.registry, path)
+    base = sinks.write_version(t.registry, path)
     old = sinks.read_latest_or_empty(t.spark, path, "model_registry")
-    sinks.write_version(registry.promote(old, t.challengers, t.drift, RUN_TS), path)
-    return _rounded(sinks.read_latest(t.spark, path), "drift_score", 9)
+    sinks.write_version(registry.promote(old, t.challengers, t.drift, RUN_TS), path, base)
+    return _rounded(sinks.read_latest_or_empty(t.spark, path, "model_registry"), "drift_score", 9)
+
+
+def _score_to_beat(t: Tables) -> DataFrame:
+    """With champions of one type only, so that the other one shows its default."""
+    known = t.registry.filter("model_type = 'forecast'")
+    return registry.decide(known, t.challengers, t.drift).select("model_type", "metric_to_beat")
+
+
+def _brief_json(t: Tables) -> DataFrame:
+    """The payload read back into typed columns."""
+    row = brief.brief_kpis(t.daily)
+    fields = ", ".join(f"{c} {'date' if c == 'kpi_date' else 'double'}" for c in row.columns)
+    return brief.brief_json(row).select(F.from_json("kpi_json", fields).alias("k")).select("k.*")
+
+
+def _client_brief(t: Tables) -> DataFrame:
+    """The stored row with fixed clock and run id, its payload read back in part."""
+    row = brief.client_daily_brief(t.daily, run_id="run-1", today=date(2024, 1, 1), now=RUN_TS)
+    payload = F.from_json("kpi_json", "kpi_date date, orders_latest double, gmv_latest double")
+    return row.withColumn("k", payload).select("brief_date", "generated_at", "channel", "run_id", "ai_summary", "k.*")
+
+
+def _loaded_columns(t: Tables) -> DataFrame:
+    """Every column of all eight loads in long form: filled rows, distinct values, least and greatest."""
+    tables = csv_tables.load_raw(t.spark, t.csv_dir())
+    found = None
+    for name, df in tables.items():
+        # One row per table, turned into one per column.
+        facts = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(c).alias("filled"),
+                F.count_distinct(c).alias("distinct_values"),
+                F.min(c).alias("least"),
+                F.max(c).alias("greatest"),
+            )
+            for c in df.columns
+        ]
+        rows = df.agg(F.array(*facts).alias("facts")).select(F.lit(name).alias("table_name"), F.inline("facts"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 def _time_series_folds(t: Tables) -> DataFrame:
@@ -362,6 +425,7 @@ def _stg(table: str) -> Callable[[Tables], DataFrame]:
 
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
+    "raw_csv_load_columns": _loaded_columns,
     "raw_csv_load": lambda t: csv_tables.load_raw(t.spark, t.csv_dir())["order_items"],
     "csv_rejects": _csv_rejects,
     "table_counts": lambda t: staging.table_counts(csv_tables.load_raw(t.spark, t.csv_dir())),
@@ -386,6 +450,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "delay_features_train": lambda t: t.delay_train,
     "delay_features_scoring": lambda t: t.delay_scoring,
     "drift_samples": lambda t: features.drift_sample(t.stg["payments"]),
+    "drift_samples_capped": lambda t: features.drift_sample(t.stg["payments"], cap=1000),
     "demand_matrix": lambda t: models.demand_matrix(t.demand_train),
     "delay_matrix": lambda t: models.delay_matrix(t.delay_train),
     "time_index": lambda t: splits.time_index(sinks.stored(t.demand_train, "demand-train")).select(
@@ -414,13 +479,16 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "drift_audit": lambda t: _rounded(t.audit, "psi_score", 9),
     "drift_flag_count": lambda t: dashboard.drift_flag_count(t.audit),
     "registry_champions": lambda t: registry.champions(t.registry),
+    "champion_rows": lambda t: dashboard.champion_rows(t.registry, "forecast"),
+    "drift_flagged": lambda t: _rounded(dashboard.drift_flagged(t.audit), "psi_score", 9),
+    "score_to_beat": _score_to_beat,
     "registry_promote": _registry_promote,
     "registry_result": lambda t: registry.resulting_champions(t.registry, t.challengers, t.drift),
     "brief_kpis": lambda t: brief.brief_kpis(t.daily),
-    "brief_json": lambda t: brief.brief_json(brief.brief_kpis(t.daily)),
+    "brief_json": _brief_json,
     "brief_movements": lambda t: brief.brief_movements(brief.brief_kpis(t.daily)),
-    "client_daily_brief": lambda t: brief.client_daily_brief(t.daily),
-    "latest_brief": lambda t: dashboard.latest_brief(t.briefs(t.daily)).select("brief_date", "channel", "run_id"),
+    "client_daily_brief": _client_brief,
+    "latest_brief": lambda t: dashboard.latest_brief(t.briefs(t.daily)),
     "exec_window": lambda t: dashboard.in_window(t.exec),
     "latest_day_flag": lambda t: dashboard.latest_day_flag(t.exec),
     "latest_delay_pct": lambda t: dashboard.latest_delay_pct(t.exec),
@@ -431,9 +499,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "national_strip": lambda t: dashboard.national_strip(t.daily),
     "geo_city_min_volume": lambda t: dashboard.city_min_volume(marts.geo_kpi(t.fct)),
     "risk_buckets": lambda t: dashboard.risk_buckets(t.risk),
-    "risk_heatmap": lambda t: _rounded(dashboard.risk_heatmap(t.risk), "avg_risk", 12),
+    "risk_heatmap": lambda t: _rounded(dashboard.risk_heatmap(t.risk_runs), "avg_risk", 12),
     "forecast_by_state": lambda t: dashboard.forecast_by_state(t.forecast, STATE),
-    "actual_vs_forecast": lambda t: dashboard.actual_vs_forecast(t.daily, t.forecast, STATE),
+    "actual_vs_forecast": lambda t: dashboard.actual_vs_forecast(t.daily, t.forecast_runs, STATE),
     "orders_change_feed": _change_feed,
     "orders_stream_staging": _stream_staging,
     "daily_kpi_incremental": _stream_daily,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from orderloom.schemas import RAW
+
 from .tables import statement
 
 _TS = "try_cast({0} as timestamp) as {1}"
@@ -16,6 +18,17 @@ _BODIES["raw_csv_load"] = """
 select order_id, order_item_id, product_id, seller_id, shipping_limit_date, nullif(price, '') as price, freight_value
 from r_items"""
 
+_RAW_VIEWS = {
+    "orders": "r_orders", "order_items": "r_items", "payments": "r_payments", "customers": "t_customers",
+    "products": "r_products", "reviews": "r_reviews", "sellers": "t_sellers", "geolocation": "r_geolocation",
+}
+_BODIES["raw_csv_load_columns"] = " union all ".join(
+    f"select '{table}' as table_name, '{c}' as column_name, count(nullif({c}, '')) as filled, "
+    f"count(distinct nullif({c}, '')) as distinct_values, min(nullif({c}, '')) as least, max(nullif({c}, '')) as greatest from {view}"
+    for table, view in _RAW_VIEWS.items()
+    for c in RAW[table].names
+)
+
 _BODIES["csv_rejects"] = """
 select order_id as first_field,
   case when cast(order_id as bigint) % 17 = 0 then order_id || ',' || customer_id
@@ -30,9 +43,11 @@ _BODIES["table_counts"] = " union all ".join(
     ]
 )
 _BODIES["full_refresh_roundtrip"] = "select * from daily"
+# The payload's numbers as the text that both engines write for them is not the same; its keys and order are compared
+# through brief_json, here only what SQL can write alike.
 _BODIES["append_roundtrip"] = """
-select kpi_date as brief_date, cast(kpi_date as timestamp) as generated_at, 'automated_pipeline' as channel,
-  'run-' || cast(kpi_date as varchar) as run_id from daily"""
+select kpi_date as brief_date, cast(kpi_date as timestamp) as generated_at, '{"total_orders":' || cast(total_orders as varchar)
+  || '}' as kpi_json, '' as ai_summary, 'automated_pipeline' as channel, 'run-' || cast(kpi_date as varchar) as run_id from daily"""
 
 _BODIES["stg_orders"] = (
     "select order_id, customer_id, order_status, "
@@ -151,10 +166,11 @@ _DELAY = "cast(item_price as double) as item_price, cast(freight_value as double
 _BODIES["delay_features_train"] = f"""
 select * replace ({_DELAY}, cast(is_delayed as bigint) as is_delayed) from delay_train"""
 _BODIES["delay_features_scoring"] = f"select * replace ({_DELAY}) from delay_scoring"
-_BODIES["drift_samples"] = """
+_BODIES["drift_samples"] = "select cast(payment_value as double) as payment_value from t_payments where payment_value is not null"
+_BODIES["drift_samples_capped"] = """
 select cast(payment_value as double) as payment_value from (select * from t_payments where payment_value is not null
   order by md5(order_id || '|' || cast(payment_sequential as varchar)), order_id, payment_sequential, payment_value
-  limit 200000)"""
+  limit 1000)"""
 _BODIES["demand_matrix"] = """
 select kpi_date, customer_state, product_category_name, cast(daily_orders as double) as daily_orders,
   coalesce(daily_gmv, 0) as daily_gmv, coalesce(daily_review, 0) as daily_review,
@@ -183,7 +199,8 @@ select * replace ({_DELAY}, cast(is_delayed as bigint) as is_delayed) from strat
 _BODIES["fold_class_check"] = """
 select fold, (select count(*) from stratified where is_delayed = 1) - val_pos as train_pos,
   (select count(*) from stratified where is_delayed = 0) - val_neg as train_neg, val_pos, val_neg,
-  true as usable
+  val_pos > 0 and val_neg > 0 and (select count(*) from stratified where is_delayed = 1) > val_pos
+    and (select count(*) from stratified where is_delayed = 0) > val_neg as usable
 from (select fold, count(*) filter (where is_delayed = 1) as val_pos, count(*) filter (where is_delayed = 0) as val_neg
   from stratified group by fold)"""
 _APE = """abs(greatest(target_orders_next_7d::double, 1e-8) - greatest(coalesce(lag_7_orders, 0)::double, 1e-8))
@@ -208,6 +225,11 @@ _BODIES["drift_flag"] = "select feature_name, drift_flag from audit"
 _BODIES["drift_audit"] = "select run_ts, feature_name, round(psi_score, 9) as psi_score, drift_flag from audit"
 _BODIES["drift_flag_count"] = "select count(distinct feature_name) filter (where drift_flag) as drifted_features from audit"
 _BODIES["registry_champions"] = "select * from champions"
+_BODIES["champion_rows"] = "select * from registry where model_type = 'forecast' and is_champion"
+_BODIES["drift_flagged"] = "select run_ts, feature_name, round(psi_score, 9) as psi_score, drift_flag from audit where drift_flag"
+_BODIES["score_to_beat"] = """
+select 'forecast' as model_type, coalesce((select metric_value from champions where model_type = 'forecast'), 9999.0) as metric_to_beat
+union all select 'delay_risk', -1.0"""
 _BODIES["registry_promote"] = """
 select r.model_type, r.model_resource_name, r.metric_name, r.metric_value,
   r.is_champion and not coalesce(d.promoted, false) as is_champion, r.drift_score, r.updated_at
@@ -229,8 +251,17 @@ _BODIES["brief_movements"] = " union all ".join(
     f"then 'needs attention' else 'unchanged' end as verdict from brief_row"
     for k, s in [("orders", 1), ("gmv", 1), ("aov", 1), ("review", 1), ("delay", -1)]
 )
+_BODIES["brief_json"] = "select * from brief_row"
+_LISTED = "concat_ws(', ', " + ", ".join(
+    f"case when {s} * ({k}_latest - {k}_prev) {{0}} 0 then '{k}' end" for k, s in [("orders", 1), ("gmv", 1), ("aov", 1), ("review", 1), ("delay", -1)]
+) + ")"
+_BODIES["client_daily_brief"] = f"""
+select date '2024-01-01' as brief_date, timestamp '2024-01-01 00:00:00' as generated_at, 'automated_pipeline' as channel,
+  'run-1' as run_id, 'Improved: ' || coalesce(nullif({_LISTED.format('>')}, ''), 'none') || '. Needs attention: '
+  || coalesce(nullif({_LISTED.format('<')}, ''), 'none') || '.' as ai_summary, kpi_date, orders_latest, gmv_latest from brief_row"""
 _BODIES["latest_brief"] = """
-select kpi_date as brief_date, 'automated_pipeline' as channel, 'run-' || cast(kpi_date as varchar) as run_id
+select kpi_date as brief_date, cast(kpi_date as timestamp) as generated_at, '{"total_orders":' || cast(total_orders as varchar)
+  || '}' as kpi_json, '' as ai_summary, 'automated_pipeline' as channel, 'run-' || cast(kpi_date as varchar) as run_id
 from daily where kpi_date = (select max(kpi_date) from daily)"""
 
 # ----------------------------------------------------------------------------- dashboard

@@ -219,8 +219,7 @@ select *, row_number() over (order by kpi_date, customer_state nulls first, prod
   as row_index from demand_train"""
 
 VIEWS["time_plan"] = """
-select n, k, n // (k + 1) as block, unnest(range(k)) as i
-from (select n, least(4, greatest(2, n // 40)) as k from (select count(*) as n from demand_train))"""
+select n, 4 as k, n // 5 as block, unnest(range(4)) as i from (select count(*) as n from demand_train)"""
 
 VIEWS["time_folds"] = """
 select i + 1 as fold, n - k * block + i * block as lo, n - k * block + (i + 1) * block as hi from time_plan"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.ordering import numeric_bucket, running_total
+from ..operators.ordering import running_total, with_even_bucket
 
 # Fixed value: lower bound of both sides of the percentage error.
 FLOOR = 1e-8
@@ -36,7 +36,7 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
         .groupBy("s")
         .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     )
-    ranked = running_total(counts, F.col("neg"), numeric_bucket(F.col("s")), [F.col("s")], name="below")
+    ranked = running_total(with_even_bucket(counts, "s", "part"), F.col("neg"), F.col("part"), [F.col("s")], name="below")
     wide = "decimal(38,0)"
     pairs = F.sum((F.col("pos").cast("decimal(18,0)") * (2 * F.col("below") + F.col("neg")).cast("decimal(19,0)")).cast(wide))
     return ranked.agg(

@@ -12,6 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+#: Parts that a column of numbers is dealt out in where its order matters.
+EVEN_BUCKETS = 256
+
+
 def running_total(
     df: DataFrame,
     weight: Column,
@@ -29,37 +33,45 @@ def running_total(
     column for the sum over all rows. ``df`` is read twice; store it first when it
     is costly to compute.
     """
-    keys = [*within, "_bucket"]
+    # Keys that are never NULL: the window and the equi-join then ask for the same
+    # partitioning, and the rows are shuffled once.
+    keys = [f"_key{i}" for i in range(len(within) + 1)]
     rows = df.withColumn("_bucket", bucket).withColumn("_weight", weight.cast("bigint"))
-    earlier = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sources = [*within, "_bucket"]
+    rows = rows.withColumns(
+        {k: F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("null")) for k, c in zip(keys, sources)}
+    )
+    groups = keys[:-1]
+    earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*keys)
-        .agg(F.sum("_weight").alias("_total"))
+        .agg(F.sum("_weight").alias("_total"), F.min("_bucket").alias("_bucket"))
         .select(
-            *[F.col(k).alias(f"_o{k}") for k in keys],
+            *keys,
             F.sum("_total").over(earlier).alias("_offset"),
-            F.sum("_total").over(Window.partitionBy(*within)).alias("_grand"),
+            F.sum("_total").over(Window.partitionBy(*groups)).alias("_grand"),
         )
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("_local", F.sum("_weight").over(inside))
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & local[k].eqNullSafe(offsets[f"_o{k}"])
     total = F.coalesce(F.col("_offset"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
     extra = [F.col("_grand").alias(grand_total)] if grand_total else []
-    return local.join(offsets, condition, "inner").select(*df.columns, total.cast("bigint").alias(name), *extra)
+    return local.join(offsets, keys).select(*df.columns, total.cast("bigint").alias(name), *extra)
 
 
-def numeric_bucket(value: Column, per_unit: int = 1024) -> Column:
-    """Order-preserving bucket of a number on a logarithmic scale.
+def with_even_bucket(df: DataFrame, column: str, name: str, buckets: int = EVEN_BUCKETS) -> DataFrame:
+    """Add an order-preserving bucket of a number; each has about as many rows.
 
-    It depends on the value alone, so it needs no pass over the data, and the
-    number of buckets is bounded by the range of a double (some hundred for
-    probabilities, some ten thousand for money).
+    The cuts are approximate quantiles of the values, so values crowded into a small
+    range spread over as many buckets as any others. They only deal rows out; results
+    do not depend on where they lie. The cuts, a fixed number, are fetched when the plan
+    is made.
     """
-    d = value.cast("double")
-    return F.floor(F.signum(d) * F.log1p(F.abs(d)) * per_unit).cast("bigint")
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(df.agg(F.percentile_approx(column, shares, 10 * buckets)).first()[0] or []))
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    return df.withColumn(name, F.size(F.filter(F.lit(cuts), lambda cut: cut <= F.col(column))))
 
 
 def hash_text(*columns: str) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .ordering import numeric_bucket, running_total
+from .ordering import running_total, with_even_bucket
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -26,7 +26,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     order statistics by their rank in a distributed running total.
     """
     counts = value_counts(df, column)
-    ranked = running_total(counts, F.col("n"), numeric_bucket(F.col("v")), [F.col("v")], grand_total="total")
+    ranked = running_total(with_even_bucket(counts, "v", "part"), F.col("n"), F.col("part"), [F.col("v")], grand_total="total")
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("v")))

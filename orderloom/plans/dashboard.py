@@ -124,7 +124,15 @@ def risk_buckets(scores: DataFrame) -> DataFrame:
     return scores.withColumn("risk_bucket", kpis.risk_bucket("delay_risk_score"))
 
 
+def latest_run(scores: DataFrame) -> DataFrame:
+    """Rows of the newest scoring run: the latest moment, then the highest version."""
+    run = F.struct(F.coalesce("scored_at", F.lit("0001-01-01").cast("timestamp_ntz")).alias("at"), F.coalesce("model_version", F.lit("")).alias("v"))
+    newest = scores.agg(F.max(run)).scalar()
+    return scores.filter(run == newest)
+
+
 def risk_heatmap(scores: DataFrame) -> DataFrame:
+    scores = latest_run(scores)
     return scores.groupBy("customer_state", "payment_type").agg(F.avg("delay_risk_score").alias("avg_risk"))
 
 
@@ -133,10 +141,10 @@ def forecast_by_state(forecast: DataFrame, state: str = FORECAST_STATE) -> DataF
 
 
 def actual_vs_forecast(daily: DataFrame, forecast: DataFrame, state: str = FORECAST_STATE) -> DataFrame:
-    """National orders per day beside the chosen state's forecast, days of either side kept."""
+    """National orders per day beside the chosen state's newest forecast, days of either side kept."""
     actual = daily.select(F.col("kpi_date").alias("day"), F.col("total_orders").alias("actual_orders"))
     predicted = (
-        forecast_by_state(forecast, state)
+        forecast_by_state(latest_run(forecast), state)
         .groupBy(F.col("forecast_date").alias("day"))
         .agg(F.sum("predicted_orders_7d").alias("predicted_orders_7d"))
     )

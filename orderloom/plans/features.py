@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..operators.joins import left_join_details
 from ..operators.ordering import capped_sample
 
-DRIFT_SAMPLE_ROWS = 200_000
-DRIFT_READ_ROWS = 100_000
-
 
 def demand_base(fct: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Day by state by category. An order's payment and review count once per item row.
@@ -21,6 +18,8 @@ def demand_base(fct: DataFrame, items: DataFrame, products: DataFrame) -> DataFr
     per_order = (
         items.select("order_id", "product_id")
         .join(products.select("product_id", "product_category_name"), "product_id", "left")
+        # Serves the grouping and the join with the fact: one shuffle for both.
+        .repartition("order_id")
         .groupBy("order_id", "product_category_name")
         .agg(F.count(F.lit(1)).alias("_items"))
     )
@@ -129,7 +128,9 @@ def delay_features_scoring(train: DataFrame) -> DataFrame:
     )
 
 
-def drift_sample(payments: DataFrame, cap: int = DRIFT_SAMPLE_ROWS) -> DataFrame:
-    """Repeatable capped sample of payment values."""
+def drift_sample(payments: DataFrame, cap: int | None = None) -> DataFrame:
+    """All known payment values, or a repeatable sample of ``cap`` of them."""
     known = payments.filter(F.col("payment_value").isNotNull())
+    if cap is None:
+        return known.select("payment_value")
     return capped_sample(known, ["order_id", "payment_sequential"], ["payment_value"], cap)

@@ -72,7 +72,7 @@ def demand_pipeline(trees: int = 400, depth: int = 7) -> Pipeline:
 
 
 def train_forecast(
-    train: DataFrame, trees: int = 400, depth: int = 7, folds: int | None = None, refit: bool = False
+    train: DataFrame, trees: int = 400, depth: int = 7, folds: int = splits.TIME_FOLDS, refit: bool = False
 ) -> tuple[PipelineModel, DataFrame]:
     """Model of the last fold (or of all rows with ``refit``) and one score row per fold.
 

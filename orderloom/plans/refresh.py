@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .. import schemas
+from .. import schemas, session
 from ..sources import csv_tables, sinks
 from . import brief, features, marts, models, registry, staging
 
@@ -64,6 +64,37 @@ def refresh_tables(
     return tables
 
 
+def utc_now() -> datetime:
+    """One moment for all rows of a run, in UTC and without a zone."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def drift_samples(payments: DataFrame, dst: str, baseline: DataFrame | None, current: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The two samples to compare, each stored once.
+
+    By default the payments of this load against those of the run before, which are read
+    before they are replaced; the first run has no earlier one and is its own baseline.
+    """
+    spark, path = payments.sparkSession, f"{dst}/features/drift_current_sample"
+    current = features.drift_sample(payments) if current is None else current
+    if baseline is None:
+        earlier = sinks.current_version(spark, path) > 0
+        baseline = sinks.read_latest(spark, path, current.schema) if earlier else current
+    baseline = sinks.full_refresh(baseline, f"{dst}/features/drift_baseline_sample")
+    return baseline, sinks.full_refresh(current, path)
+
+
+def output_views(spark: SparkSession, dst: str) -> dict[str, DataFrame]:
+    """Forecasts, risk scores, registry, audit and briefs as tables and as views by their names."""
+    found = {"model_registry": sinks.read_latest_or_empty(spark, f"{dst}/mart/model_registry", "model_registry")}
+    for name in ("demand_forecast_daily", "delay_risk_scores", "drift_audit", "client_daily_brief"):
+        # An empty append makes the folder, so that a view exists before the first rows.
+        found[name] = sinks.append(schemas.empty_table(spark, name), f"{dst}/mart/{name}", schemas.OUTPUT[name])
+    for name, df in found.items():
+        df.createOrReplaceTempView(name)
+    return found
+
+
 def run_models(
     spark: SparkSession,
     tables: dict[str, DataFrame],
@@ -78,7 +109,8 @@ def run_models(
 
     ``baseline`` and ``current`` are the two payment samples to compare.
     """
-    version = version or (at or datetime.now()).strftime("%Y%m%d%H%M%S")
+    at = at or utc_now()
+    version = version or at.strftime("%Y%m%d%H%M%S")
     forecast, forecast_scores = models.train_forecast(
         tables["demand_features_train"], sizes.forecast_trees, sizes.forecast_depth
     )
@@ -105,11 +137,12 @@ def run_models(
     )
     drift = sinks.full_refresh(registry.drift_score(baseline, current), f"{dst}/features/drift_score")
     registry_path = f"{dst}/mart/model_registry"
+    base = sinks.current_version(spark, registry_path)
     old = sinks.read_latest_or_empty(spark, registry_path, "model_registry")
     result = sinks.full_refresh(
         registry.resulting_champions(old, challengers, drift), f"{dst}/mart/champion_result"
     )
-    sinks.write_version(registry.promote(old, challengers, drift, at), registry_path)
+    sinks.write_version(registry.promote(old, challengers, drift, at), registry_path, base)
     sinks.append(registry.drift_audit(drift, at), f"{dst}/mart/drift_audit", schemas.OUTPUT["drift_audit"])
     return result
 
@@ -134,15 +167,21 @@ def refresh_all(
     with_models: bool = True,
     sizes: ModelRun = ModelRun(),
     files: dict[str, str] | None = None,
+    baseline: DataFrame | None = None,
+    current: DataFrame | None = None,
+    at: datetime | None = None,
     **brief_args,
 ) -> dict[str, DataFrame]:
-    """Everything in dependency order; a failing step stops the run."""
-    tables = refresh_tables(spark, src, dst, files)
-    if with_models:
-        payments = tables["stg_payments"]
-        sample = features.drift_sample(payments)
-        baseline = sinks.full_refresh(sample, f"{dst}/features/drift_baseline_sample")
-        current = sinks.full_refresh(sample, f"{dst}/features/drift_current_sample")
-        tables["champions"] = run_models(spark, tables, dst, baseline, current, sizes)
-    tables["client_daily_brief"] = store_brief(tables["daily_kpi"], dst, **brief_args)
-    return tables
+    """Everything in dependency order; a failing step stops the run.
+
+    ``baseline`` and ``current`` are payment samples for the drift check, see
+    :func:`drift_samples`. Intermediate data of the run is removed at its end.
+    """
+    at = at or utc_now()
+    with session.scratch_scope(spark):
+        tables = refresh_tables(spark, src, dst, files)
+        if with_models:
+            samples = drift_samples(tables["stg_payments"], dst, baseline, current)
+            tables["champions"] = run_models(spark, tables, dst, *samples, sizes, at)
+        store_brief(tables["daily_kpi"], dst, **brief_args)
+    return tables | output_views(spark, dst)

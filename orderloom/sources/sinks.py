@@ -1,11 +1,26 @@
-"""Table sinks on parquet: full refresh, append, and versioned replacement."""
+"""Table sinks on parquet: full refresh, append, and versioned replacement.
+
+A replaceable table is a folder with its data in ``data/<unique name>`` and one small
+``versions/<number>`` per commit, which names the data folder. Data is written first; the
+commit creates the version's folder and fails if it is there, so a write that breaks off
+leaves the old table in place and of two writers only one commits.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas, session
 
+_VERSION = "version long, folder string"
+
+
+class WriteConflict(RuntimeError):
+    """Another writer has committed the version meanwhile; read again and repeat."""
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back: several readers, one computation,
@@ -15,18 +30,46 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _newest(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and data folder of the committed version; (0, None) before the first."""
+    try:
+        rows = spark.read.schema(_VERSION).parquet(f"{path}/versions/*")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0, None
+        raise
+    newest = rows.agg(F.max(F.struct("version", "folder")).alias("v")).first()["v"]
+    return (newest["version"], newest["folder"]) if newest else (0, None)
+
+
+def _commit(spark: SparkSession, path: str, version: int, folder: str) -> None:
+    row = spark.createDataFrame([(version, folder)], _VERSION).coalesce(1)
+    try:
+        row.write.mode("errorifexists").parquet(f"{path}/versions/{version}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_ALREADY_EXISTS":
+            raise WriteConflict(f"version {version} of {path} was committed by another writer") from error
+        raise
+
+
+def _replace(df: DataFrame, path: str, partition_by: str | None, base: int | None = None) -> tuple[int, DataFrame]:
+    spark = df.sparkSession
+    version = (_newest(spark, path)[0] if base is None else base) + 1
+    folder = f"data/{uuid.uuid4().hex}"
+    writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(f"{path}/{folder}")
+    _commit(spark, path, version, folder)
+    return version, spark.read.schema(df.schema).parquet(f"{path}/{folder}")
+
+
 def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace the table and return it as stored.
+    """Replace the table and return it as stored; readers see the old or the new table.
 
     Partitioned tables are rebalanced on the partition column first: each value
     gets few files, and one that holds much of the data is split over several
     writers instead of going to one.
     """
-    if partition_by:
-        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return _replace(df, path, partition_by)[1]
 
 
 def append(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
@@ -35,37 +78,30 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+def current_version(spark: SparkSession, path: str) -> int:
+    """The committed version's number; 0 when nothing is stored yet."""
+    return _newest(spark, path)[0]
 
 
-def next_version(spark: SparkSession, path: str) -> int:
-    """One more than the newest version; 1 when nothing is stored yet."""
-    try:
-        newest = _versions(spark, path).agg(F.max("version")).first()[0]
-    except Exception as error:  # no such folder, or no version in it yet
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return 1
-        raise
-    return int(newest or 0) + 1
+def write_version(df: DataFrame, path: str, base: int | None = None) -> int:
+    """Store a changed table; readers switch when the write commits.
 
-
-def write_version(df: DataFrame, path: str) -> int:
-    """Store a changed table beside the old one; readers switch when the write commits."""
-    version = next_version(df.sparkSession, path)
-    df.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(path)
-    return version
+    ``base`` is the version that ``df`` was made from. If another one was committed since,
+    :class:`WriteConflict` is raised and nothing changes for readers.
+    """
+    return _replace(df, path, None, base)[0]
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a versioned table."""
-    stored = _versions(spark, path)
-    newest = stored.agg(F.max("version")).first()[0]
-    return stored.filter(F.col("version") == newest).drop("version")
+def read_latest(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The committed version of a replaceable table, as declared."""
+    version, folder = _newest(spark, path)
+    if not version:
+        raise FileNotFoundError(f"nothing is stored in {path}")
+    return spark.read.schema(schema).parquet(f"{path}/{folder}")
 
 
 def read_latest_or_empty(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Like :func:`read_latest`, with a typed empty table before the first write."""
-    if next_version(spark, path) == 1:
+    if not current_version(spark, path):
         return schemas.empty_table(spark, name)
-    return schemas.conform(read_latest(spark, path), schemas.OUTPUT[name])
+    return read_latest(spark, path, schemas.OUTPUT[name])

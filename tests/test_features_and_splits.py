@@ -92,13 +92,15 @@ def test_delay_features_fan_out_items_by_payments(spark):
 
 def test_time_plan():
     with pytest.raises(ValueError):
-        splits.time_fold_plan(14)
-    for n in (15, 79, 80, 160, 1003):
+        splits.time_fold_plan(4)
+    for n in (5, 15, 79, 80, 160, 1003):
         plan = splits.time_fold_plan(n)
-        assert len(plan) == min(4, max(2, n // 40))
+        assert len(plan) == 4
         assert plan[-1].end == n and all(a.end == b.start for a, b in zip(plan, plan[1:]))
         assert {f.end - f.start for f in plan} == {n // (len(plan) + 1)} and plan[0].start > 0
-    assert splits.time_fold_plan(20, folds=30) == [splits.TimeFold(1, 16, 20)]
+    with pytest.raises(ValueError):
+        splits.time_fold_plan(20, folds=20)
+    assert splits.time_fold_plan(3, folds=2) == [splits.TimeFold(1, 1, 2), splits.TimeFold(2, 2, 3)]
 
 
 def test_time_index_is_gapless_and_ordered(spark):
@@ -166,7 +168,7 @@ def test_forecast_model(spark):
     base = _base(spark, {(s, "a"): [1 + (i + k) % 7 for i in range(40)] for k, s in enumerate(("SP", "RJ"))})
     train = features.demand_features_train(base)
     model, scores = models.train_forecast(train, trees=2, depth=2)
-    assert [r["fold"] for r in scores.orderBy("fold").collect()] == [1, 2]
+    assert [r["fold"] for r in scores.orderBy("fold").collect()] == [1, 2, 3, 4]
     out = models.score_demand(model, features.demand_features_scoring(base), "v1", datetime(2024, 1, 1))
     assert out.schema.simpleString() == schemas.OUTPUT["demand_forecast_daily"].simpleString() and out.count() == 2
     assert models.mean_score(spark, scores) > 0

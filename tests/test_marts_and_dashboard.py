@@ -135,9 +135,10 @@ def test_small_dashboard_pieces(spark):
     assert rows(dashboard.latest_brief(briefs), "run_id") == [("y",), ("z",)]
     daily = spark.createDataFrame([(D1, 5)], "kpi_date date, total_orders long")
     forecast = spark.createDataFrame(
-        [(D1, "SP", 2.0), (D1, "SP", 3.0), (D2, "SP", 1.0), (D2, "RJ", 9.0)],
-        "forecast_date date, customer_state string, predicted_orders_7d double",
+        [(D1, "SP", 2.0, "v1"), (D1, "SP", 3.0, "v1"), (D2, "SP", 1.0, "v1"), (D2, "RJ", 9.0, "v1"), (D2, "SP", 8.0, "v0")],
+        "forecast_date date, customer_state string, predicted_orders_7d double, model_version string",
     )
+    forecast = forecast.withColumn("scored_at", F.lit("2024-01-01").cast("timestamp_ntz"))
     assert rows(dashboard.actual_vs_forecast(daily, forecast)) == [(D1, 5, 5.0), (D2, None, 1.0)]
 
 

@@ -9,7 +9,7 @@ from conftest import rows
 from orderloom.functions import metrics
 from orderloom.operators import changes, quantiles
 from orderloom.operators.joins import left_join_details
-from orderloom.operators.ordering import capped_sample, hash_text, numeric_bucket, running_total
+from orderloom.operators.ordering import capped_sample, hash_text, running_total, with_even_bucket
 
 
 def test_running_total_matches_a_loop(spark):
@@ -19,7 +19,7 @@ def test_running_total_matches_a_loop(spark):
     got = {
         r["i"]: (r["before"], r["total"])
         for r in running_total(
-            df, F.col("w"), numeric_bucket(F.col("x")), [F.col("x")], within=["g"], grand_total="total"
+            with_even_bucket(df, "x", "b"), F.col("w"), F.col("b"), [F.col("x")], within=["g"], grand_total="total"
         ).collect()
     }
     for i, g, x, _ in data:
@@ -27,13 +27,34 @@ def test_running_total_matches_a_loop(spark):
         assert got[i] == (sum(r[3] for r in same if r[2] < x), sum(r[3] for r in same))
 
 
-def test_numeric_bucket_keeps_order(spark):
+def test_even_bucket_keeps_order(spark):
     values = sorted([-1e300, -5.0, -1e-9, 0.0, 1e-9, 0.3, 0.5, 0.50001, 7.0, 1e6, 1e300])
-    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", numeric_bucket(F.col("x")).alias("b"))
-    buckets = [r["b"] for r in df.orderBy("x").collect()]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    buckets = [r["b"] for r in with_even_bucket(df, "x", "b").orderBy("x").collect()]
     assert buckets == sorted(buckets) and len(set(buckets)) > 5
 
 
+def test_crowded_values_spread_over_many_buckets(spark):
+    df = spark.range(20_000).select((0.5 + F.col("id") / 20_000_000).alias("x"))
+    sizes = [r["count"] for r in with_even_bucket(df, "x", "b").groupBy("b").count().collect()]
+    assert len(sizes) > 200 and max(sizes) < 400
+
+
+def test_running_total_shuffles_rows_once(spark):
+    """With broadcasts off, the rows meet their offsets in the partitioning of the window."""
+    df = spark.range(1000).select("id", (F.col("id") % 7).cast("string").alias("g"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = running_total(df, F.lit(1), F.floor(F.col("id") / 100), [F.col("id")], within=["g"])
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = plan.index("SortMergeJoin")
+    rows_side = plan[join:].split("Range (0")[0]
+    assert rows_side.count("Exchange hashpartitioning") == 1, plan
+
+
 @pytest.mark.parametrize(
     "values",
     [

@@ -79,10 +79,16 @@ def test_sinks(spark, tmp_path):
     assert sinks.read_latest_or_empty(spark, path, "model_registry").isEmpty()
     first = _registry(spark, ("forecast", "f1", 0.5, True, AT))
     assert sinks.write_version(first, path) == 1
-    second = registry.promote(sinks.read_latest(spark, path), _challengers(spark, 0.1, 0.9), _drift(spark), AT)
+    second = registry.promote(sinks.read_latest_or_empty(spark, path, "model_registry"), _challengers(spark, 0.1, 0.9), _drift(spark), AT)
     assert sinks.write_version(second, path) == 2
     assert _state(sinks.read_latest_or_empty(spark, path, "model_registry")) == {("f1", False), ("new-f", True), ("new-d", True)}
 
+    with pytest.raises(sinks.WriteConflict):
+        sinks.write_version(second, path, base=1)  # made from version 1, but 2 is there
+    assert sinks.current_version(spark, path) == 2
+    assert sinks.write_version(first.limit(0), path) == 3
+    assert sinks.read_latest_or_empty(spark, path, "model_registry").isEmpty()
+
     audit = registry.drift_audit(_drift(spark), AT)
     out = str(tmp_path / "audit")
     sinks.append(audit, out, schemas.OUTPUT["drift_audit"])
@@ -93,6 +99,37 @@ def test_sinks(spark, tmp_path):
         sinks.append(audit.drop("psi_score"), out, schemas.OUTPUT["drift_audit"])
 
 
+def test_failed_refresh_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.full_refresh(spark.range(3), path)
+    with pytest.raises(Exception):
+        sinks.full_refresh(spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), path)
+    assert sinks.read_latest(spark, path, "id long").count() == 3
+    sinks.full_refresh(spark.range(4), path)
+    assert sinks.read_latest(spark, path, "id long").count() == 4
+
+
+def test_drift_compares_with_the_run_before(spark, tmp_path):
+    dst = str(tmp_path / "dst")
+    values = lambda low: spark.range(400).select((F.col("id") % 50 + low).cast("decimal(18,2)").alias("payment_value"))
+    first = refresh.drift_samples(values(0), dst, None, None)
+    assert rows(registry.drift_score(*first))[0][0] == pytest.approx(0.0)
+    same = refresh.drift_samples(values(0), dst, None, None)
+    assert not registry.drift_score(*same).first()["drift_flag"]
+    moved = refresh.drift_samples(values(30), dst, None, None)
+    drift = registry.drift_score(*moved)
+    assert drift.first()["drift_flag"]
+    old = _registry(spark, ("forecast", "f1", 0.5, True, AT))
+    assert rows(registry.promote(old, _challengers(spark, 0.1, 0.9), drift, AT)) == rows(old)
+
+
+def test_newest_run_of_scores(spark):
+    data = [("a", 1.0, "v9", AT), ("a", 5.0, "v10", AT.replace(year=AT.year + 1)), ("a", 7.0, "v1", None)]
+    df = spark.createDataFrame(data, "k string, x double, model_version string, scored_at timestamp_ntz")
+    assert rows(dashboard.latest_run(df), "x") == [(5.0,)]
+    assert dashboard.latest_run(df.limit(0)).count() == 0
+
+
 def _raw_orders(spark):
     raw = star_tables.raw_tables(spark, SMALL)["orders"]
     return raw.filter("order_purchase_timestamp <> 'bad-date'")
@@ -128,7 +165,8 @@ def test_full_refresh_from_files(spark, tmp_path):
     assert counts["daily_kpi"] == tables["fct_orders"].select("order_date").distinct().filter("order_date is not null").count()
     assert counts["client_daily_brief"] == 1 and counts["champions"] == 2
     assert spark.sql("select count(*) from exec_dashboard").first()[0] == counts["exec_dashboard"]
-    stored = sinks.read_latest(spark, f"{dst}/mart/model_registry")
+    stored = sinks.read_latest_or_empty(spark, f"{dst}/mart/model_registry", "model_registry")
+    assert spark.sql("select count(*) from delay_risk_scores").first()[0] == counts["delay_features_scoring"]
     assert rows(stored, "model_type", "is_champion") == [("delay_risk", True), ("forecast", True)]
     assert spark.read.parquet(f"{dst}/mart/drift_audit").first()["psi_score"] == pytest.approx(0.0)
     assert spark.read.parquet(f"{dst}/mart/delay_risk_scores").count() == counts["delay_features_scoring"]
