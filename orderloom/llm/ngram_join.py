@@ -4,14 +4,13 @@
    batches). Documents with the same set are one class; copies go no further.
 2. Shingles are ordered by document frequency, rare ones first. Frequencies are counted
    over all documents in ``BUCKETS`` hash buckets, a table of fixed size that the tasks
-   get. Shingles of a passage that buckets do not tell from others show when prefixes by
-   this order are counted: the ``COMMON`` most frequent ones go last in the final order.
-   An order only has to be the same everywhere, so neither table's size affects results.
+   get. The order only has to be the same everywhere, so a shared bucket does no harm.
 3. Two sets at or above the threshold share a shingle of their prefixes. Classes of equal
    size and prefix form a group, and only groups are indexed and paired.
 4. Pairs of groups are expanded to members. A pair whose sizes, or whose counts of
-   shingles by the top byte of the hash, rule out the threshold is left out; the others
-   are verified on whole sets, which are read again for their members only.
+   shingles by the top byte of the hash, rule out the threshold is left out; so is one
+   whose first common shingle comes too late in either prefix. The others are verified on
+   whole sets, which are read again for their members only.
 
 Components are asked for, not all links, so pairs are formed in rounds and a pair whose
 ends are already connected is not formed again: first each group with the pivots of its
@@ -29,20 +28,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import prepare, read_table, stored, strings, text_of
 from .components import components
 
 #: Size of the frequency table that tasks get; fixed, whatever the input.
 BUCKETS = 1 << 18
-#: Shingles whose exact number of prefixes decides their place; fixed, whatever the input.
-COMMON = 200_000
-#: In fewer prefixes than this a shingle is not common.
-COMMON_USES = 8
 #: A table of ids of at most so many rows (16 bytes each) is broadcast, a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
 _WORDS_AT_ONCE = 200_000
+#: Parity of the number of shingles for each top byte of the hash, 64 in each.
+_ODD = ["odd0", "odd1", "odd2", "odd3"]
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _SLICE = 1 << 20
 
@@ -145,12 +142,6 @@ def _frequencies(texts: DataFrame, width: int) -> np.ndarray:
     return found
 
 
-def _sketch(own: np.ndarray) -> bytes | None:
-    """Number of shingles by the top byte of the hash; none for sets too large for bytes."""
-    counts = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=256)
-    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
-
-
 def _sets_of(batch: pa.RecordBatch, width: int) -> tuple[list[np.ndarray], dict]:
     sets = list(shingle_sets(strings(batch["_text"]).to_pylist(), width))
     digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -158,56 +149,31 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> tuple[list[np.ndarray], dict]
     return sets, {"n": np.array([len(s) for s in sets], np.int64), "d1": pairs[:, 0].copy(), "d2": pairs[:, 1].copy()}
 
 
-class _Order:
-    """Rare shingles first: by bucket count, the common ones after all others by their uses."""
-
-    def __init__(self, buckets: np.ndarray, common: np.ndarray, uses: np.ndarray):
-        self.buckets, order = buckets, np.argsort(common)
-        self.common, self.uses = common[order], uses[order]
-
-    def prefix(self, own: np.ndarray, percent: int) -> np.ndarray:
-        """So many shingles that two sets at the threshold have one of them in common."""
-        length = len(own) - -(-percent * len(own) // 100) + 1 if len(own) else 0
-        rank = self.buckets[_bucket(own)]
-        if len(self.common) and len(own):
-            at = np.minimum(np.searchsorted(self.common, own), len(self.common) - 1)
-            rank = np.where(self.common[at] == own, (1 << 62) + self.uses[at], rank)
-        return own[np.argsort(rank, kind="stable")[:length]]
-
-
-def _order(texts: DataFrame, width: int, percent: int) -> _Order:
-    empty = np.zeros(0, np.int64)
-    first = _Order(_frequencies(texts, width), empty.view(np.uint64), empty)
-    shared = texts.sparkSession.sparkContext.broadcast(first)
-
-    def tokens(batches):
-        for batch in batches:
-            sets = shingle_sets(strings(batch["_text"]).to_pylist(), width)
-            found, uses = np.unique(np.concatenate([shared.value.prefix(s, percent) for s in sets]), return_counts=True)
-            yield pa.record_batch({"token": _signed(found), "uses": uses})
-
-    counted = texts.select("_text").mapInArrow(tokens, "token long, uses long").groupBy("token").agg(F.sum("uses").alias("uses"))
-    common = counted.filter(F.col("uses") >= COMMON_USES).orderBy(F.desc("uses"), "token").limit(COMMON).toArrow()
-    return _Order(first.buckets, common["token"].to_numpy().view(np.uint64), common["uses"].to_numpy())
-
-
 def _profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """For each row: set size, set digest, prefix and prefix digest."""
-    order = texts.sparkSession.sparkContext.broadcast(_order(texts, width, percent))
+    frequency = texts.sparkSession.sparkContext.broadcast(_frequencies(texts, width))
 
     def profile(batches):
+        rank = frequency.value
         for batch in batches:
             sets, found = _sets_of(batch, width)
-            prefixes = [order.value.prefix(s, percent) for s in sets]
+            prefixes = []
+            for s in sets:
+                length = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
+                prefixes.append(s[np.argsort(rank[_bucket(s)], kind="stable")[:length]])
+            counts = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) for s in sets]
+            odd = np.packbits((np.array(counts, np.int64).reshape(-1, 256) & 1).astype(np.uint8), axis=1).view(np.int64)
             groups = np.frombuffer(b"".join(xxhash.xxh3_128_digest(p.tobytes()) for p in prefixes), np.int64).reshape(-1, 2)
             yield pa.record_batch(
                 {"_id": batch["_id"], "_text_hash": batch["_text_hash"], **found}
                 | {"g1": groups[:, 0].copy(), "g2": groups[:, 1].copy(), "prefix": _lists(prefixes)}
-                | {"sketch": pa.array([_sketch(s) for s in sets], pa.binary())}
+                | {"sketch": pa.array([c.astype(np.uint8).tobytes() if c.max() < 256 else None for c in counts], pa.binary())}
+                | {name: odd[:, k].copy() for k, name in enumerate(_ODD)}
             )
 
     id_type = texts.schema["_id"].dataType.simpleString()
     schema = f"_id {id_type}, _text_hash long, n long, d1 long, d2 long, g1 long, g2 long, prefix array<long>, sketch binary"
+    schema += "".join(f", {name} long" for name in _ODD)
     return texts.mapInArrow(profile, schema)
 
 
@@ -230,6 +196,17 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return found.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
 
 
+def _may_reach(percent: int) -> Column:
+    """Whether sizes and parities allow the threshold for sides a and b.
+
+    Two sets differ in at least as many shingles as there are hash bytes whose numbers of
+    shingles differ in parity.
+    """
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    differ = sum(F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in _ODD)
+    return sizes & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+
+
 def _possible(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose counts by hash byte allow the threshold: the smaller count of each byte bounds what is shared."""
 
@@ -277,9 +254,9 @@ class _Join:
         # One document of each class: its smallest id, and the smallest hash among equal ids.
         self.classes = stored(
             filled.groupBy("n", "d1", "d2", "g1", "g2")
-            .agg(F.min(F.struct("_id", "_text_hash")).alias("_row"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
+            .agg(F.min(F.struct("_id", "_text_hash")).alias("_row"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"), *[F.first(c).alias(c) for c in _ODD])
             .select(
-                *("n", "d1", "d2", "g1", "g2", "_row._id", "_row._text_hash", "prefix", "sketch"),
+                *("n", "d1", "d2", "g1", "g2", "_row._id", "_row._text_hash", "prefix", "sketch", *_ODD),
                 F.monotonically_increasing_id().alias("node"),
             ),
             "classes",
@@ -290,12 +267,12 @@ class _Join:
         self.index = self._index(heads.select(F.col("node").alias("grp"), "prefix"))
 
     def _index(self, heads: DataFrame) -> DataFrame:
-        """``token, grp, uses, pivot`` for the shingles that several groups have in their prefixes.
+        """``token, grp, at, uses, pivot`` for the shingles that several groups have in their prefixes.
 
         The pivot of a shingle is one of its groups, chosen by the shingle's own bits so that
         the shingles of a cluster have different pivots.
         """
-        entries = heads.select("grp", F.explode("prefix").alias("token"))
+        entries = heads.select("grp", F.posexplode("prefix").alias("at", "token"))
         mask = F.shiftrightunsigned(F.xxhash64("token"), 2)
         shared = entries.groupBy("token").agg(
             F.count("*").alias("uses"), F.min(F.col("grp").bitwiseXOR(mask)).alias("low")
@@ -309,12 +286,11 @@ class _Join:
 
     def fitting(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Distinct pairs that may reach the threshold and are not connected yet."""
-        side = self.classes.select("node", "n", "sketch").join(labels, "node")
+        side = self.classes.select("node", "n", "sketch", *_ODD).join(labels, "node")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
         for end in "ab":
             pairs = pairs.join(side.select(*[F.col(c).alias(c + end) for c in side.columns]).withColumnRenamed(f"node{end}", end), end)
-        sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        return _possible(pairs.filter(sizes & (F.col("labela") != F.col("labelb"))), self.percent)
+        return _possible(pairs.filter(_may_reach(self.percent) & (F.col("labela") != F.col("labelb"))), self.percent)
 
     def linked(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Labels after a round over the given candidate pairs."""
@@ -329,14 +305,20 @@ class _Join:
         return stored(_relabelled(labels, edges), "labels")
 
     def remaining(self, labels: DataFrame) -> DataFrame:
-        """All pairs that share a shingle of their prefixes and lie in different components."""
-        rows = self.index.select("token", "grp").join(self.members, "grp").join(labels, "node")
-        rows = rows.select("token", "node", "n", "label")
+        """All pairs in different components whose first common shingle of the prefixes leaves room for enough others.
+
+        None of the shingles before the first common one is shared, since they would be in
+        both prefixes; so the rest of either set bounds what the two have in common.
+        """
+        side = self.classes.select("node", "n", *_ODD).join(labels, "node")
+        rows = self.index.select("token", "grp", "at").join(self.members.select("grp", "node"), "grp").join(side, "node")
+        rows = rows.select("token", "at", "node", "n", "label", *_ODD)
         mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
         rows = stored(rows.join(mixed.select("token"), "token", "left_semi"), "mixed")
-        a, b = (rows.select("token", *[F.col(c).alias(c + end) for c in ("node", "n", "label")]) for end in "ab")
-        sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent
-        pairs = a.join(b, "token").filter(sizes & F.expr("nodea < nodeb and labela != labelb"))
+        a, b = (rows.select("token", *[F.col(c).alias(c + end) for c in ("at", "node", "n", "label", *_ODD)]) for end in "ab")
+        room = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) * (100 + self.percent)
+        enough = room >= (F.col("na") + F.col("nb")) * self.percent
+        pairs = a.join(b, "token").filter(F.expr("nodea < nodeb and labela != labelb") & enough & _may_reach(self.percent))
         return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
 
     def labels(self) -> DataFrame:
