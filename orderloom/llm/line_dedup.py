@@ -1,12 +1,14 @@
 """Removal of passages that an earlier document has, by pairwise alignment of lines.
 
-1. Every line long enough to tell something gets a hash. Each document is paired, for each
-   of its lines, with the earliest document that has the line; for a rare line (in at most
-   ``RARE`` documents) also with the one just before it. Pairs are linear in the number of
-   lines, whatever a line's frequency: nothing is capped.
+1. Every line gets a hash. Documents that share a rare line (in at most ``RARE`` documents)
+   are paired: the holder with the earliest one and with the one just before it. For lines
+   of any frequency, a document is paired with the earliest one that has the same run of
+   lines, for each shortest run that is long enough to be deleted. Pairs are linear in the
+   number of lines: nothing is capped.
 2. Each pair is aligned with patience diff over line hashes: lines that are unique in both
    documents and in the same order are anchors, and blocks grow from them over equal
-   neighbours. Only line hashes travel, in Arrow batches of pairs.
+   neighbours; passages that were moved are found from the anchors left over. Only line
+   hashes travel, in Arrow batches of pairs.
 3. Blocks of at least ``min_words`` words are deleted from the later document. The earliest
    holder of a passage keeps it, since a line is only deleted for an earlier document.
 
@@ -21,6 +23,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import prepare, read_table, stored, text_of
@@ -44,16 +47,49 @@ def _order(prefix: str = ""):
     return F.struct(F.col(f"{prefix}_id").isNotNull().alias("known"), F.col(f"{prefix}_id").alias("id"), F.col(f"{prefix}_text_hash").alias("hash"))
 
 
-def _pairs(lines: DataFrame, line_words: int) -> DataFrame:
+def shortest_runs(words: np.ndarray, min_words: int) -> set[tuple[int, int]]:
+    """(start, end) of the runs with at least ``min_words`` words that lose them without their last or first line."""
+    total = np.concatenate([[0], np.cumsum(words)])
+    starts = np.arange(len(words))
+    ends = np.searchsorted(total, total[:-1] + min_words, side="left")
+    fit = ends <= len(words)
+    runs = set(zip(starts[fit].tolist(), ends[fit].tolist()))
+    lows = np.searchsorted(total, total[1:] - min_words, side="right") - 1
+    fit = lows >= 0
+    return runs | set(zip(lows[fit].tolist(), (starts[fit] + 1).tolist()))
+
+
+def _runs(lines: DataFrame, min_words: int) -> DataFrame:
+    """``_doc, _hash`` of each distinct shortest run of lines that is long enough."""
+
+    def read(batches):
+        for batch in batches:
+            docs, found = [], []
+            for doc, hashes, words in zip(batch["_doc"].to_pylist(), batch["hashes"], batch["words"]):
+                own = hashes.values.to_numpy()
+                keys = {xxhash.xxh3_64_intdigest(own[a:b].tobytes()) for a, b in shortest_runs(words.values.to_numpy(), min_words)}
+                docs += [doc] * len(keys)
+                found += keys
+            yield pa.record_batch({"_doc": pa.array(docs, pa.int64()), "_hash": pa.array(np.array(found, np.uint64).view(np.int64))})
+
+    own = lines.select("_doc", F.col("_lines.hash").alias("hashes"), F.col("_lines.words").alias("words"))
+    return own.mapInArrow(read, "_doc long, _hash long")
+
+
+def _pairs(lines: DataFrame, line_words: int, min_words: int) -> DataFrame:
     """Distinct pairs (later, earlier) of document numbers."""
+
+    def shared(held: DataFrame) -> DataFrame:
+        uses = held.groupBy("_hash").agg(F.count("*").alias("_uses"), F.min("_doc").alias("_first")).filter("_uses > 1")
+        return held.join(uses, "_hash")
+
     held = lines.select("_doc", F.explode("_lines").alias("_line")).filter(F.col("_line.words") >= line_words)
     held = held.select("_doc", F.col("_line.hash").alias("_hash")).distinct()
-    uses = held.groupBy("_hash").agg(F.count("*").alias("_uses"), F.min("_doc").alias("_first")).filter("_uses > 1")
-    shared = stored(held.join(uses, "_hash"), "shared-lines")
-    first = shared.filter("_doc != _first").select(F.col("_doc").alias("later"), F.col("_first").alias("earlier"))
+    rare = shared(held).filter(F.col("_uses") <= RARE)
     just_before = F.lag("_doc").over(Window.partitionBy("_hash").orderBy("_doc"))
-    rare = shared.filter(F.col("_uses") <= RARE).select(F.col("_doc").alias("later"), just_before.alias("earlier"))
-    return first.union(rare.filter("earlier is not null")).distinct()
+    rare = rare.withColumn("_before", just_before).select("_doc", F.explode(F.array("_first", "_before")).alias("_first"))
+    pairs = rare.union(shared(_runs(lines, min_words)).select("_doc", "_first"))
+    return pairs.filter("_first < _doc").select(F.col("_doc").alias("later"), F.col("_first").alias("earlier")).distinct()
 
 
 def _increasing(values: np.ndarray) -> list[int]:
@@ -78,30 +114,35 @@ def _increasing(values: np.ndarray) -> list[int]:
 
 
 def patience_blocks(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
-    """Aligned common blocks (start in a, start in b, length), in order, without overlap."""
+    """Common blocks (start in a, start in b, length) by their start in a, without overlap in a.
+
+    Anchors that keep their order come first. Lines of a that are left over and that b has
+    too are passages that were moved or repeated; they get blocks of their own, from the
+    line's first place in b.
+    """
     once_a, at_a, n_a = np.unique(a, return_index=True, return_counts=True)
     once_b, at_b, n_b = np.unique(b, return_index=True, return_counts=True)
     _, i, j = np.intersect1d(once_a[n_a == 1], once_b[n_b == 1], assume_unique=True, return_indices=True)
     anchors = np.stack([at_a[n_a == 1][i], at_b[n_b == 1][j]], axis=1)
     anchors = anchors[np.argsort(anchors[:, 0])]
+    ordered = [tuple(p) for p in anchors[_increasing(anchors[:, 1])].tolist()]
+    at = np.minimum(np.searchsorted(once_b, a), len(once_b) - 1)
+    shared = np.flatnonzero(once_b[at] == a)
+    others = list(zip(shared.tolist(), at_b[at[shared]].tolist()))
+    used = np.zeros(len(a), bool)
     blocks: list[tuple[int, int, int]] = []
-    end_a = end_b = 0
-    for k in _increasing(anchors[:, 1]):
-        x, y = (int(v) for v in anchors[k])
-        if x < end_a or y < end_b:
+    for x, y in ordered + others:
+        if used[x]:
             continue
         low = 0
-        while x - low > end_a and y - low > end_b and a[x - low - 1] == b[y - low - 1]:
+        while x > low and y > low and a[x - low - 1] == b[y - low - 1] and not used[x - low - 1]:
             low += 1
         high = 1
-        while x + high < len(a) and y + high < len(b) and a[x + high] == b[y + high]:
+        while x + high < len(a) and y + high < len(b) and a[x + high] == b[y + high] and not used[x + high]:
             high += 1
-        end_a, end_b = x + high, y + high
-        if blocks and low and blocks[-1][0] + blocks[-1][2] == x - low and blocks[-1][1] + blocks[-1][2] == y - low:
-            blocks[-1] = blocks[-1][0], blocks[-1][1], blocks[-1][2] + low + high
-        else:
-            blocks.append((x - low, y - low, low + high))
-    return blocks
+        used[x - low : x + high] = True
+        blocks.append((x - low, y - low, low + high))
+    return sorted(blocks)
 
 
 def _aligned(pairs: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
@@ -144,7 +185,7 @@ def remove_repeated_passages(
     numbers = stored(keys.withColumn("_doc", F.monotonically_increasing_id()), "document-numbers")
     on = [F.col(f"l.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("_id", "_text_hash")]
     numbered = stored(lines.alias("l").join(numbers.alias("n"), on).select("n._doc", "l._lines"), "numbered-lines")
-    pairs = stored(_pairs(numbered, line_words), "line-pairs")
+    pairs = stored(_pairs(numbered, line_words, min_words), "line-pairs")
     gone = _aligned(pairs, numbered, min_words).groupBy("later").agg(F.sort_array(F.collect_set("line")).alias("removed_lines"))
     gone = stored(gone.join(numbers, F.col("later") == F.col("_doc")).select("_id", "_text_hash", "removed_lines"), "removed")
     rows = docs.drop("n_lines", "removed_lines").withColumn("_text_hash", F.xxhash64(text_of(text_col)))
