@@ -20,13 +20,16 @@ from r_items"""
 
 _RAW_VIEWS = {
     "orders": "r_orders", "order_items": "r_items", "payments": "r_payments", "customers": "t_customers",
-    "products": "r_products", "reviews": "r_reviews", "sellers": "t_sellers", "geolocation": "r_geolocation",
+    "products": "(select *, cast(length(product_category_name) as varchar) as product_name_lenght, "
+    "cast(null as varchar) as product_description_lenght, '1' as product_photos_qty from r_products)",
+    "reviews": "r_reviews", "sellers": "t_sellers", "geolocation": "r_geolocation",
 }
 _BODIES["raw_csv_load_columns"] = " union all ".join(
-    f"select '{table}' as table_name, '{c}' as column_name, count(nullif({c}, '')) as filled, "
-    f"count(distinct nullif({c}, '')) as distinct_values, min(nullif({c}, '')) as least, max(nullif({c}, '')) as greatest from {view}"
+    f"select '{table}' as table_name, '{c}' as column_name, count({v}) as filled, count(distinct {v}) as distinct_values, "
+    f"min({v}) as least, max({v}) as greatest from {view}"
     for table, view in _RAW_VIEWS.items()
     for c in RAW[table].names
+    for v in [f"nullif(cast({c} as varchar), '')"]
 )
 
 _BODIES["csv_rejects"] = """
