@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import chunk_of, prepare, read_table, strings, text_of
 
 #: Documents that the classifiers are fitted on, at most about this many in all.
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2000
 FEATURE_BITS = 12
 FEATURES = 1 << FEATURE_BITS
 UNKNOWN = "und"
@@ -114,25 +114,27 @@ def _fitted(features: np.ndarray, target: np.ndarray, epochs: int = 12, rate: fl
     return weights, bias
 
 
-def fit(rows: list[tuple[str, np.ndarray]]) -> Model:
-    """Model from (language, trigram counts) pairs."""
-    languages = sorted({lang for lang, _ in rows})
+def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
+    """Model from languages with the trigrams that a text has and their counts."""
+    languages = sorted({lang for lang, _, _ in rows})
     number = {lang: i for i, lang in enumerate(languages)}
     code = codewords(len(languages)) if languages else np.zeros((0, 0), np.int8)
     if not code.size:
         empty = np.zeros((FEATURES, code.shape[1]), np.float32)
         return Model(languages, code, empty, np.zeros(code.shape[1], np.float32), np.ones(code.shape, np.float32))
     features = np.empty((len(rows), FEATURES), np.float32)
-    for i, (_, counts) in enumerate(rows):
+    for i, (_, at, n) in enumerate(rows):
+        counts = np.zeros(FEATURES, np.int64)
+        counts[at] = n
         features[i] = _scaled(counts)
-    own = np.array([number[lang] for lang, _ in rows])
+    own = np.array([number[lang] for lang, _, _ in rows])
     weights, bias = _fitted(features, code[own].astype(np.float32))
     right = (features @ weights + bias) * code[own] > 0
     trust = np.array([right[own == k].mean(axis=0) for k in range(len(languages))], np.float32)
     return Model(languages, code, weights, bias, trust / np.maximum(trust.sum(axis=1, keepdims=True), 1e-9))
 
 
-def _sample(rows: DataFrame, sample_rows: int) -> list[tuple[str, np.ndarray]]:
+def _sample(rows: DataFrame, sample_rows: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Features of about ``sample_rows`` labelled rows and of short excerpts from each."""
     per_lang = rows.groupBy("_lang").count().collect()
     share = sample_rows / max(1, len(per_lang))
@@ -165,13 +167,9 @@ def _sample(rows: DataFrame, sample_rows: int) -> list[tuple[str, np.ndarray]]:
             )
 
     table = rows.filter(kept).select("_lang", "_text").mapInArrow(read, "lang string, at array<int>, n array<int>").toArrow()
-    result = []
-    for lang, at, n in zip(table["lang"].to_pylist(), table["at"], table["n"]):
-        counts = np.zeros(FEATURES, np.int32)
-        counts[at.values.to_numpy()] = n.values.to_numpy()
-        result.append((lang, counts))
+    result = [(lang, at.values.to_numpy(), n.values.to_numpy()) for lang, at, n in zip(table["lang"].to_pylist(), table["at"], table["n"])]
     # Collected rows come in no fixed order.
-    return sorted(result, key=lambda r: (r[0], r[1].tobytes()))
+    return sorted(result, key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
