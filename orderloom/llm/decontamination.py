@@ -160,7 +160,12 @@ class Searcher:
         w = item.window
         for at, place in places:  # a whole window without edits
             if place + w <= len(item.codes) and np.array_equal(codes[at : at + w], item.codes[place : place + w]):
-                return 0, at, at + w
+                low, high = 0, w  # the whole stretch that equals the item
+                while low < min(at, place) and codes[at - low - 1] == item.codes[place - low - 1]:
+                    low += 1
+                while high < min(len(codes) - at, len(item.codes) - place) and codes[at + high] == item.codes[place + high]:
+                    high += 1
+                return 0, at - low, at + high
         best = None
         slack = 2 * self.band + item.edits
         tried: set[tuple[int, int]] = set()
@@ -230,7 +235,8 @@ def contaminations(
 ) -> DataFrame:
     """One row per document and benchmark item in it: ``doc_id, item_id, edits, start, end``.
 
-    ``start`` and ``end`` are positions in the text as given. Texts are compared in lower
+    ``start`` and ``end`` are positions in the text as given, of a stretch that aligns with a
+    window of the item; without edits it is the whole stretch that equals the item. Texts are compared in lower
     case with runs of white space as one space. Null and empty texts on either side match
     nothing, nor do items of fewer than two q-grams' length. Repeated rows and rows without
     an id give a row each; items with equal texts are all reported. Empty tables give an

@@ -94,6 +94,13 @@ def test_stretches_are_given_in_the_text_as_it_is():
     assert edits == 0 and text[low:high] == "The  QUICK brown\nfox jumps over the lazy dog and runs away"
 
 
+def test_an_exact_stretch_is_given_whole():
+    item = " ".join(f"word{i}" for i in range(30))
+    text = f"before it. {item[20:]} And after"
+    edits, low, high = decontamination.Searcher([item]).matches(text)[0]
+    assert edits == 0 and text[low:high].strip() == item[20:].strip()
+
+
 def test_a_match_across_slices(monkeypatch):
     monkeypatch.setattr(decontamination, "_SLICE", 150)
     item = " ".join(f"word{i}" for i in range(40))
