@@ -351,7 +351,8 @@ def near_duplicates(
     classes = state.classes.join(labels, "node").select("n", "d1", "d2", "label")
     rows = state.rows.filter("n > 0").select("_id", "_text_hash", "n", "d1", "d2").join(classes, ["n", "d1", "d2"])
     rows = stored(rows.select("_id", "_text_hash", "n", "label"), "labelled")
-    names = rows.groupBy("label").agg(F.min("_id").alias("component_id"))
+    # Stored, so that the join below is between two plain exchanges and splits a hot component.
+    names = stored(rows.groupBy("label").agg(F.min("_id").alias("component_id")), "component-names")
     linked = rows.join(names, "label").select("_id", "_text_hash", "n", "component_id")
     alone = state.rows.filter("n = 0").select("_id", "_text_hash", "n", F.col("_id").alias("component_id"))
     return linked.unionByName(alone).select(
