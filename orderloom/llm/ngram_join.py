@@ -263,22 +263,24 @@ class _Join:
         )
         groups = self.classes.groupBy("n", "g1", "g2").agg(F.min("node").alias("grp"))
         self.members = stored(self.classes.select("node", "n", "g1", "g2").join(groups, ["n", "g1", "g2"]).select("node", "grp", "n"), "members")
-        heads = self.classes.select("node", "prefix").join(self.members.filter("node = grp").select("node"), "node")
-        self.index = self._index(heads.select(F.col("node").alias("grp"), "prefix"))
+        sizes = self.members.groupBy("grp").agg(F.count("*").alias("size")).withColumnRenamed("grp", "node")
+        heads = self.classes.select("node", "prefix").join(sizes, "node")
+        self.index = self._index(heads.select(F.col("node").alias("grp"), "prefix", "size"))
 
     def _index(self, heads: DataFrame) -> DataFrame:
         """``token, grp, at, uses, pivot`` for the shingles that several groups have in their prefixes.
 
+        A group of several members has its first shingle here in any case, so that its members meet.
         The pivot of a shingle is one of its groups, chosen by the shingle's own bits so that
         the shingles of a cluster have different pivots.
         """
-        entries = heads.select("grp", F.posexplode("prefix").alias("at", "token"))
+        entries = heads.select("grp", "size", F.posexplode("prefix").alias("at", "token"))
         mask = F.shiftrightunsigned(F.xxhash64("token"), 2)
         shared = entries.groupBy("token").agg(
-            F.count("*").alias("uses"), F.min(F.col("grp").bitwiseXOR(mask)).alias("low")
+            F.count("*").alias("uses"), F.min(F.col("grp").bitwiseXOR(mask)).alias("low"), F.max(F.expr("at = 0 and size > 1")).alias("inside")
         )
-        shared = shared.filter("uses > 1").select("token", "uses", F.col("low").bitwiseXOR(mask).alias("pivot"))
-        return stored(entries.join(shared, "token"), "index")
+        shared = shared.filter("uses > 1 or inside").select("token", "uses", F.col("low").bitwiseXOR(mask).alias("pivot"))
+        return stored(entries.drop("size").join(shared, "token"), "index")
 
     def expanded(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of each member of a group with the head of another."""

@@ -119,6 +119,18 @@ def test_near_duplicates_match_brute_force(make_docs, width, percent):
     assert Counter(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == _expected_near(rows, width, percent)
 
 
+def test_links_inside_a_group_whose_head_is_not_linked(make_docs):
+    # Two pairs with one prefix, of rare words that nobody else has: whichever text is the head, the other pair is not linked with it.
+    passage = [f"rare{i}" for i in range(60)]
+    endings = [[f"common{k}x{i}" for i in range(43)] for k in range(2)]
+    rows = [(10 * k + j, " ".join(passage + end[3 * j : 3 * j + 40])) for k, end in enumerate(endings) for j in range(2)]
+    rows += [(100 + i, " ".join(endings[0] + endings[1])) for i in range(20)]
+    want = _expected_near(rows, 1, 90)
+    assert {c for _, _, c in want} == {0, 10, 100}
+    got = ngram_join.near_duplicates(make_docs(rows), width=1, percent=90)
+    assert Counter(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == want
+
+
 def test_near_duplicates_of_odd_rows(odd_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     got = ngram_join.near_duplicates(odd_docs)
