@@ -106,6 +106,37 @@ def test_licence_rules_in_order(make_docs):
     }
 
 
+def test_licences_with_their_own_punctuation(make_docs):
+    gpl = (
+        "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n"
+        "    the Free Software Foundation, either version 3 of the License, or\n    (at your option) any later version.\n\n"
+    )
+    warranty = (
+        "    This program is distributed in the hope that it will be useful,\n    but WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        "    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n    GNU General Public License for more details.\n"
+    )
+    texts = {
+        "GPL-3.0-or-later": [gpl + warranty, gpl, (gpl + warranty).replace("software:", "software;").replace("Foundation,", "Foundation;")],
+        "Apache-2.0": [
+            'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\n'
+            "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+            'Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\n'
+            "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language.\n"
+        ],
+        "MIT": [
+            "MIT License\n\nCopyright (c) 2024 A\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+            'of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\n'
+            "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\n"
+            "furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\n"
+            "copies or substantial portions of the Software.\n"
+        ],
+    }
+    rows = [(name, text) for name, several in texts.items() for text in several]
+    found = licences.recognise(make_docs([(i, t) for i, (_, t) in enumerate(rows)])).collect()
+    assert {r["doc_id"]: r["licences"] for r in found} == {i: name for i, (name, _) in enumerate(rows)}
+    assert {r["doc_id"]: r["n_sentences"] for r in found} == {0: 4, 1: 2, 2: 5, 3: 3, 4: 2}
+
+
 def test_normalised_sentences_are_what_they_should_be():
     import re
 
