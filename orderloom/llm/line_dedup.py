@@ -31,13 +31,15 @@ from .common import prepare, read_table, stored, text_of
 MIN_WORDS = 20
 LINE_WORDS = 4
 RARE = 16
+#: What ``\s`` matches, which words are split at.
+SPACE = " \t\n\x0b\f\r"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per distinct document: id, text hash, and for each line its hash and words."""
     text = text_of(text_col)
     words = lambda line: F.size(F.filter(F.split(line, r"\s+"), lambda w: w != ""))
-    line = lambda s: F.struct(F.xxhash64(F.trim(s)).alias("hash"), words(s).alias("words"))
+    line = lambda s: F.struct(F.xxhash64(F.trim(s, F.lit(SPACE))).alias("hash"), words(s).alias("words"))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text_hash"), F.transform(F.split(text, "\n"), line).alias("_lines"))
     return rows.groupBy("_id", "_text_hash").agg(F.first("_lines").alias("_lines"))
 
@@ -113,12 +115,34 @@ def _increasing(values: np.ndarray) -> list[int]:
     return found[::-1]
 
 
+def _longest_ends(a: np.ndarray, b: np.ndarray, used: np.ndarray) -> list[tuple[int, int, int]]:
+    """(place in a, place in b, length) of the longest common run that ends at each unused line of a; the longest first, in b the first."""
+    order = np.argsort(b, kind="stable")
+    low, high = np.searchsorted(b[order], a, side="left"), np.searchsorted(b[order], a, side="right")
+    found = []
+    # Lengths of the runs that end at each place of b, in one array per row; entries of other rows are set back.
+    before, now = np.zeros(len(b) + 1, np.int64), np.zeros(len(b) + 1, np.int64)
+    filled = order[:0]
+    for x in np.flatnonzero(~used & (high > low)).tolist():
+        if not found or found[-1][0] != x - 1:
+            before[filled + 1] = 0
+            filled = order[:0]
+        places = order[low[x] : high[x]]
+        lengths = before[places] + 1
+        now[places + 1] = lengths
+        before[filled + 1] = 0
+        before, now, filled = now, before, places
+        best = int(lengths.argmax())
+        found.append((x, int(places[best]), int(lengths[best])))
+    return sorted(found, key=lambda e: (-e[2], e[0]))
+
+
 def patience_blocks(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
     """Common blocks (start in a, start in b, length) by their start in a, without overlap in a.
 
     Anchors that keep their order come first. Lines of a that are left over and that b has
-    too are passages that were moved or repeated; they get blocks of their own, from the
-    line's first place in b.
+    too are passages that were moved or repeated; they get blocks of their own, the longest
+    first, over all the line's places in b.
     """
     once_a, at_a, n_a = np.unique(a, return_index=True, return_counts=True)
     once_b, at_b, n_b = np.unique(b, return_index=True, return_counts=True)
@@ -126,12 +150,9 @@ def patience_blocks(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
     anchors = np.stack([at_a[n_a == 1][i], at_b[n_b == 1][j]], axis=1)
     anchors = anchors[np.argsort(anchors[:, 0])]
     ordered = [tuple(p) for p in anchors[_increasing(anchors[:, 1])].tolist()]
-    at = np.minimum(np.searchsorted(once_b, a), len(once_b) - 1)
-    shared = np.flatnonzero(once_b[at] == a)
-    others = list(zip(shared.tolist(), at_b[at[shared]].tolist()))
     used = np.zeros(len(a), bool)
     blocks: list[tuple[int, int, int]] = []
-    for x, y in ordered + others:
+    for x, y in ordered:
         if used[x]:
             continue
         low = 0
@@ -142,6 +163,13 @@ def patience_blocks(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
             high += 1
         used[x - low : x + high] = True
         blocks.append((x - low, y - low, low + high))
+    for x, y, length in _longest_ends(a, b, used):
+        low = 0
+        while low < length and not used[x - low]:
+            low += 1
+        if low:
+            used[x - low + 1 : x + 1] = True
+            blocks.append((x - low + 1, y - low + 1, low))
     return sorted(blocks)
 
 

@@ -167,6 +167,20 @@ def test_line_dedup_of_copies_and_odd_rows(make_docs, odd_docs):
     assert line_dedup.remove_repeated_passages(odd_docs.limit(0)).count() == 0
 
 
+def test_lines_are_compared_without_any_white_space_at_their_ends(make_docs):
+    lines = [f"line {k} of a passage that both texts have" for k in range(6)]
+    docs = [(1, "\n".join(lines)), (2, "\r\n".join([*lines, "own"])), (3, "\n".join(f"\t{x} \t" for x in [*lines, "other"]))]
+    found = {r["doc_id"]: list(r["removed_lines"]) for r in line_dedup.remove_repeated_passages(make_docs(docs)).collect()}
+    assert found == {1: [], 2: list(range(6)), 3: list(range(6))}
+
+
+def test_left_over_lines_are_tried_at_every_place():
+    # No line is unique in b, and each stands alone in b before the passage does.
+    b = np.array([1, 90, 2, 91, 3, 92, 1, 2, 3, 93, 1, 2, 3])
+    assert line_dedup.patience_blocks(np.array([1, 2, 3]), b) == [(0, 6, 3)]
+    assert line_dedup.patience_blocks(np.array([7, 1, 2, 3, 8, 1, 2, 3, 91]), b) == [(1, 6, 3), (5, 6, 3), (8, 3, 1)]
+
+
 def test_patience_blocks():
     a, b = np.array([1, 2, 3, 9, 4, 5, 7, 7]), np.array([8, 1, 2, 3, 6, 4, 5, 7, 7])
     assert line_dedup.patience_blocks(a, b) == [(0, 1, 3), (4, 5, 4)]
