@@ -12,10 +12,12 @@ from . import (
     line_dedup,
     ngram_join,
     packing,
+    sentence_pieces,
     toxicity,
 )
 
 MODULES = [decontamination, packing, html_text, ngram_join, licences, language_id, line_dedup, exact_dedup, toxicity, chat]
+MODULES += [sentence_pieces]
 
 
 def queries() -> dict:
