@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import session
 from ..sources.sinks import stored
 
-__all__ = ["chunk_of", "prepare", "read_table", "stored", "text_of"]
+__all__ = ["chunk_of", "prepare", "read_table", "slices", "stored", "text_of"]
 
 #: One Arrow batch holds at most so many rows or about so many bytes, whichever comes first.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
@@ -39,3 +42,12 @@ def chunk_of(doc_id: str, parts: int) -> Column:
 def strings(column: pa.Array) -> pa.Array:
     """A text column of a batch as large strings, null as empty."""
     return column.cast(pa.large_string()).fill_null("")
+
+
+def slices(batch: pa.RecordBatch, sizes: pa.Array, limit: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``limit`` units of size, at least one row each; a null size is 0."""
+    size = sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(size) - size) // limit
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for low, high in zip(starts, np.append(starts[1:], len(size))):
+        yield batch.slice(low, high - low)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from . import (
     chat,
+    collocations,
     decontamination,
     exact_dedup,
     html_text,
     language_id,
+    lexical_search,
     licences,
     line_dedup,
     ngram_join,
@@ -17,7 +19,7 @@ from . import (
 )
 
 MODULES = [decontamination, packing, html_text, ngram_join, licences, language_id, line_dedup, exact_dedup, toxicity, chat]
-MODULES += [sentence_pieces]
+MODULES += [collocations, lexical_search, sentence_pieces]
 
 
 def queries() -> dict:

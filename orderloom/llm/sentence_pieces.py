@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from .common import prepare, read_table, strings, text_of
+from .common import prepare, read_table, slices, strings, text_of
 
 MODEL_FILE = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
@@ -430,14 +430,6 @@ def _model_bytes(model_file: str) -> bytes:
         return file.read()
 
 
-def _slices(batch: pa.RecordBatch, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about SLICE units, one row at least."""
-    part = (np.cumsum(size) - size) // SLICE
-    starts = np.flatnonzero(np.diff(part, prepend=-1))
-    for low, high in zip(starts, np.append(starts[1:], len(size))):
-        yield batch.slice(low, high - low)
-
-
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str = MODEL_FILE) -> DataFrame:
     """One row per document: ``doc_id, ids, begins, ends``.
 
@@ -454,7 +446,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def run(batches):
         model = PieceModel.shared(data)
         for batch in batches:
-            for part in _slices(batch, pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)):
+            for part in slices(batch, pc.binary_length(batch["text"]), SLICE):
                 counts, *flat = model.encode(strings(part["text"]).to_pylist())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(f)) for f in flat]
@@ -479,7 +471,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model_file: str = MODEL_FIL
     def run(batches):
         model = PieceModel.shared(data)
         for batch in batches:
-            for part in _slices(batch, np.asarray(batch[ids_col].value_lengths().fill_null(0)).astype(np.int64)):
+            for part in slices(batch, batch[ids_col].value_lengths(), SLICE):
                 lists = part[ids_col]
                 ids = lists.flatten().to_numpy(zero_copy_only=False)
                 bounds = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))]).astype(np.int64)
