@@ -28,13 +28,15 @@ from orderloom.plans import (  # noqa: E402
     staging,
 )
 from orderloom.sources import csv_tables, sinks, star_tables  # noqa: E402
-from orderloom.streaming import orders as order_streams  # noqa: E402
+from orderloom.streaming import changes as change_streams, ledger, orders as order_streams  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = datetime(2024, 1, 1)
 STATE = "NATION_3"
 # Model sizes of the registered queries; the library defaults are the full sizes.
 TREES, DEPTH = 5, 4
+# Files of one version of an arriving table.
+FILES = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -229,8 +231,9 @@ class Tables:
         self.raw["orders"].repartition(files, "order_id").write.parquet(directory)
         return directory
 
-    def typed_order_files(self, files: int) -> str:
-        directory = self.path("arriving")
+    @property
+    def order_text(self) -> DataFrame:
+        """Readable orders as text rows."""
         ts = {
             "order_purchase_ts": "order_purchase_timestamp",
             "order_approved_ts": "order_approved_at",
@@ -238,12 +241,43 @@ class Tables:
             "order_delivered_customer_ts": "order_delivered_customer_date",
             "order_estimated_delivery_ts": "order_estimated_delivery_date",
         }
-        text = self.stg["orders"].select(
+        return self.stg["orders"].select(
             "order_id", "customer_id", "order_status", *[F.col(c).cast("string").alias(n) for c, n in ts.items()]
         )
-        text.repartition(files, "order_id").write.parquet(directory)
+
+    def order_lines(self, files: int) -> str:
+        """Orders as lines of text; some are cut short, some too long, some have a quote that never ends."""
+        key = F.col("order_id").cast("bigint")
+        columns = schemas.RAW["orders"].names
+        whole = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in columns])
+        line = (
+            F.when(key % 17 == 0, F.concat_ws(",", "order_id", "customer_id"))
+            .when(key % 19 == 0, F.concat_ws(",", "order_id", "customer_id", "order_status", *[F.lit(x) for x in "abcdef"]))
+            .when(key % 23 == 0, F.concat_ws(",", "order_id", "customer_id", F.lit('"open')))
+            .otherwise(whole)
+        )
+        directory = self.path("csv-lines")
+        lines = self.raw["orders"].select(line.alias(",".join(columns))).repartition(files)
+        lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(directory)
         return directory
 
+    def typed_text(self, table: str) -> DataFrame:
+        """A typed detail table as text rows."""
+        names = schemas.RAW[table].names
+        known = self.stg[table]
+        return known.select(
+            *[(F.col(n).cast("string") if n in known.columns else F.lit(None).cast("string")).alias(n) for n in names]
+        )
+
+    def change_stream(self, name: str, versions: list[DataFrame]) -> DataFrame:
+        """Change rows that arrive version by version, each in ``FILES`` files and one micro-batch."""
+        directory = self.path(f"arriving-{name}")
+        for version, rows in enumerate(versions, 1):
+            if "action" not in rows.columns:
+                rows = rows.withColumns({"action": F.lit("INSERT"), "is_update": F.lit(False)})
+            change_streams.publish(rows.repartition(FILES), directory, version)
+        return change_streams.read_feed(self.spark, directory, schemas.RAW[name], FILES)
+
     def briefs(self, rows: DataFrame) -> DataFrame:
         """One brief row per KPI day."""
         return rows.select(
@@ -259,18 +293,14 @@ class Tables:
 # ------------------------------------------------------------------ multi-step queries
 
 
+def _rejects(rejected: DataFrame) -> DataFrame:
+    """Rejects with their place; the generated part of the file's name differs from run to run."""
+    written = F.col("file_name").rlike("^part-[0-9]+-.*[.]csv$").alias("in_written_file")
+    return rejected.select("first_field", "line", "reason", written, "block_start")
+
+
 def _csv_rejects(t: Tables) -> DataFrame:
-    key = F.col("order_id").cast("bigint")
-    columns = schemas.RAW["orders"].names
-    line = (
-        F.when(key % 17 == 0, F.concat_ws(",", "order_id", "customer_id"))
-        .when(key % 19 == 0, F.concat_ws(",", "order_id", "customer_id", "order_status", *[F.lit(x) for x in "abcdef"]))
-        .otherwise(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in columns]))
-    )
-    path = t.path("csv-lines")
-    lines = t.raw["orders"].select(line.alias(",".join(columns)))
-    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
-    return csv_tables.rejected_rows(csv_tables.parse_csv(t.spark, "orders", path))
+    return _rejects(csv_tables.rejected_rows(csv_tables.parse_csv(t.spark, "orders", t.order_lines(4)), "orders"))
 
 
 def _full_refresh(t: Tables) -> DataFrame:
@@ -395,11 +425,79 @@ def _stream_staging(t: Tables) -> DataFrame:
     return t.spark.read.schema(schemas.STAGING["orders"]).parquet(out)
 
 
-def _stream_daily(t: Tables) -> DataFrame:
-    kpis = t.path("kpi-by-batch")
-    raw = order_streams.arriving_orders(t.spark, t.typed_order_files(2), files_per_batch=1)
-    order_streams.stream_daily_kpi(raw, t.stg, t.path("orders-by-batch"), kpis, t.path("stream-state")).awaitTermination()
-    return order_streams.current_daily_kpi(t.spark, kpis)
+def _stream_text(t: Tables, output: str) -> DataFrame:
+    """Text that arrives in three batches; readable rows or rejects."""
+    paths = {"good": t.path("orders-good"), "rejects": t.path("orders-rejects")}
+    arriving = order_streams.arriving_text(t.spark, "orders", t.order_lines(3), files_per_batch=1)
+    order_streams.stream_text("orders", arriving, checkpoint=t.path("stream-state"), **paths).awaitTermination()
+    found = t.spark.read.parquet(paths[output]).drop("batch_id")
+    return found if output == "good" else _rejects(found)
+
+
+def _feed_consumed(t: Tables) -> DataFrame:
+    """A table with copies and NULLs that follows two versions of a feed."""
+    key = F.col("order_id").cast("bigint")
+    rows = t.stg["orders"].select("order_id", "customer_id", "order_status", "order_purchase_ts")
+    rows = rows.withColumn("order_status", F.when(key % 9 != 0, F.col("order_status")))
+    rows = rows.unionByName(rows.filter(key % 5 == 0))
+    middle = rows.filter(key % 11 != 0)
+    new = rows.filter(key % 13 != 0).withColumn("order_status", F.when(key % 7 != 0, F.col("order_status")))
+    feed, path = t.path("feed"), t.path("followed")
+    change_streams.publish(changes.change_feed(rows, middle, "order_id"), feed, 1)
+    change_streams.publish(changes.change_feed(middle, new, "order_id"), feed, 2)
+    change_streams.start_table(rows, path)
+    arriving = change_streams.read_feed(t.spark, feed, rows.schema)
+    change_streams.follow(arriving, path, rows.schema, t.path("stream-state")).awaitTermination()
+    return change_streams.current_table(t.spark, path, rows.schema)
+
+
+def _ledger_kpis(t: Tables, orders: DataFrame, details: dict[str, DataFrame]) -> DataFrame:
+    kpis = t.path("kpis")
+    ledger.stream_ledger(orders, details, t.path("ledger"), kpis, t.path("stream-state")).awaitTermination()
+    return ledger.current_kpis(t.spark, kpis)
+
+
+def _halves(rows: DataFrame) -> list[DataFrame]:
+    late = F.crc32(F.col("order_id").cast("binary")) % 2 == 0
+    return [rows.filter(~late), rows.filter(late)]
+
+
+def _daily_incremental(t: Tables) -> DataFrame:
+    """Orders and details in two batches, cut alike."""
+    streams = {n: t.change_stream(n, _halves(t.typed_text(n))) for n in ("order_items", "payments", "reviews")}
+    return _ledger_kpis(t, t.change_stream("orders", _halves(t.order_text)), streams)
+
+
+def _daily_corrected(t: Tables) -> DataFrame:
+    """Orders that move to another day, change, arrive again or are cancelled, and payments that
+    come two batches after their order or are corrected."""
+    key = F.col("order_id").cast("bigint")
+    final = t.order_text
+    purchase, delivered = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
+    first = final.withColumns({
+        "order_purchase_timestamp": F.when(
+            key % 7 == 0, (purchase.cast("timestamp_ntz") - F.expr("interval 40 days")).cast("string")
+        ).otherwise(purchase),
+        "order_delivered_customer_date": F.when(key % 5 != 0, delivered),
+    })
+    cancelled = changes.change_feed(final, final.filter(key % 13 != 0), "order_id")
+    again = final.filter((key % 11 == 0) & (key % 13 != 0))
+    again = again.withColumns({"action": F.lit("INSERT"), "is_update": F.lit(False)})
+    orders = [first, changes.change_feed(first, final, "order_id"), cancelled.unionByName(again)]
+    payments = t.typed_text("payments")
+    value = F.col("payment_value")
+    wrong = payments.withColumn(
+        "payment_value", F.when(key % 17 == 0, (value.cast("decimal(18,2)") + 1).cast("string")).otherwise(value)
+    )
+    early, second = key % 3 == 0, F.col("payment_sequential") == "2"
+    corrected = changes.change_feed(wrong.filter(early & ~second), payments.filter(early & ~second), "order_id")
+    late = payments.filter(~early & ~second).withColumns({"action": F.lit("INSERT"), "is_update": F.lit(False)})
+    streams = {
+        "order_items": t.change_stream("order_items", [t.typed_text("order_items")]),
+        "payments": t.change_stream("payments", [wrong.filter(early & ~second), payments.filter(second), late.unionByName(corrected)]),
+        "reviews": t.change_stream("reviews", _halves(t.typed_text("reviews"))),
+    }
+    return _ledger_kpis(t, t.change_stream("orders", orders), streams)
 
 
 def _forecast_scores(t: Tables) -> DataFrame:
@@ -504,7 +602,11 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "actual_vs_forecast": lambda t: dashboard.actual_vs_forecast(t.daily, t.forecast_runs, STATE),
     "orders_change_feed": _change_feed,
     "orders_stream_staging": _stream_staging,
-    "daily_kpi_incremental": _stream_daily,
+    "orders_stream_text": lambda t: _stream_text(t, "good"),
+    "orders_stream_rejects": lambda t: _stream_text(t, "rejects"),
+    "orders_feed_consumed": _feed_consumed,
+    "daily_kpi_incremental": _daily_incremental,
+    "daily_kpi_corrected": _daily_corrected,
 }
 
 
@@ -530,19 +632,27 @@ def _optional(module: str):
         raise
 
 
+def _text_modules() -> tuple:
+    """The text operators and their pipeline, which is nothing without them."""
+    text = _optional("orderloom.llm.queries")
+    return text, _optional("corpus_pipeline") if text else None
+
+
 def queries() -> dict[str, Query]:
     found = {name: _query(build) for name, build in _QUERIES.items()}
-    if text := _optional("orderloom.llm.queries"):
+    text, pipeline = _text_modules()
+    if text:
         found |= text.queries()
-    if pipeline := _optional("corpus_pipeline"):
+    if pipeline:
         found["pipeline"] = pipeline.run
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     found = dict(STATEMENTS)
-    if text := _optional("orderloom.llm.queries"):
+    text, pipeline = _text_modules()
+    if text:
         found |= text.oracle_sql()
-    if (pipeline := _optional("corpus_pipeline")) and pipeline.ORACLE_SQL:
+    if pipeline and pipeline.ORACLE_SQL:
         found["pipeline"] = pipeline.ORACLE_SQL
     return found

@@ -32,11 +32,7 @@ _BODIES["raw_csv_load_columns"] = " union all ".join(
     for v in [f"nullif(cast({c} as varchar), '')"]
 )
 
-_BODIES["csv_rejects"] = """
-select order_id as first_field,
-  case when cast(order_id as bigint) % 17 = 0 then order_id || ',' || customer_id
-    else order_id || ',' || customer_id || ',' || order_status || ',a,b,c,d,e,f' end as line
-from t_orders where cast(order_id as bigint) % 17 = 0 or cast(order_id as bigint) % 19 = 0"""
+_BODIES["csv_rejects"] = "select * from broken_lines"
 
 _BODIES["table_counts"] = " union all ".join(
     f"select '{name}' as table_name, count(*) as row_count from {view}"
@@ -326,5 +322,19 @@ from (select *, 'DELETE' as action from (from snapshot_old except all from snaps
   union all select *, 'INSERT' from (from snapshot_new except all from snapshot_old))"""
 _BODIES["orders_stream_staging"] = _BODIES["stg_orders"]
 _BODIES["daily_kpi_incremental"] = "select * from daily"
+_BODIES["daily_kpi_corrected"] = """
+select order_date as kpi_date, count(*) as total_orders, cast(coalesce(sum(payment_total), 0) as double) as gmv,
+  cast(coalesce(sum(payment_total), 0) as double) / count(*) as aov, avg(avg_review_score) as avg_review_score,
+  100 * avg(cast(is_delayed as double)) as delayed_order_pct
+from fct where order_date is not null and cast(order_id as bigint) % 13 <> 0 group by order_date"""
+_BODIES["orders_stream_rejects"] = "select * from broken_lines"
+_BODIES["orders_stream_text"] = (
+    f"select * from ({_BODIES['stg_orders']}) where order_id not in (select first_field from broken_lines)"
+)
+_BODIES["orders_feed_consumed"] = """
+select order_id, customer_id, case when cast(order_id as bigint) % 9 <> 0 and cast(order_id as bigint) % 7 <> 0 then order_status end
+  as order_status, order_purchase_ts
+from t_orders, range(2) as copies(i)
+where cast(order_id as bigint) % 13 <> 0 and (i = 0 or cast(order_id as bigint) % 5 = 0)"""
 
 STATEMENTS = {name: statement(body) for name, body in _BODIES.items()}

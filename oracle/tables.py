@@ -83,6 +83,15 @@ select order_id, customer_id, order_status,
   cast(order_estimated_delivery_ts as varchar) as order_estimated_delivery_date
 from t_orders"""
 
+VIEWS["broken_lines"] = """
+select order_id as first_field, case kind when 'short' then order_id || ',' || customer_id
+    when 'long' then order_id || ',' || customer_id || ',' || order_status || ',a,b,c,d,e,f'
+    else order_id || ',' || customer_id || ',"open' end as line,
+  case kind when 'short' then 'too few fields' when 'long' then 'too many fields' else 'broken quote' end as reason,
+  true as in_written_file, cast(0 as bigint) as block_start
+from (select *, case when cast(order_id as bigint) % 17 = 0 then 'short' when cast(order_id as bigint) % 19 = 0 then 'long'
+  when cast(order_id as bigint) % 23 = 0 then 'open' end as kind from t_orders) where kind is not null"""
+
 VIEWS["r_items"] = """
 select order_id,
   case when cast(order_id as bigint) % 67 = 0 then '1.7' else cast(order_item_id as varchar) end as order_item_id,

@@ -48,7 +48,8 @@ def customer_geo(customers: DataFrame, geolocation: DataFrame) -> DataFrame:
     return customers.join(centroid, "customer_zip_code_prefix", "left")
 
 
-def _delay_flag() -> Column:
+def delay_flag() -> Column:
+    """1 for a late order, 0 for one in time, NULL where a date is missing."""
     delivered, promised = F.col("order_delivered_customer_ts"), F.col("order_estimated_delivery_ts")
     return F.when(delivered.isNotNull() & promised.isNotNull(), (delivered > promised).cast("int"))
 
@@ -86,7 +87,7 @@ def fct_orders(staging: Mapping[str, DataFrame]) -> DataFrame:
         "freight_total",
         "payment_total",
         "avg_review_score",
-        _delay_flag().alias("is_delayed"),
+        delay_flag().alias("is_delayed"),
         F.col("order_purchase_ts").cast("date").alias("order_date"),
     )
 

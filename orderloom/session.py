@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,6 +66,33 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, store = _folder(spark, path)
+    return store.exists(folder)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; nothing where there is none."""
+    folder, store = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(folder)) if store.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)
+
+
+def struct(ddl: str) -> StructType:
+    """The schema that a column list describes."""
+    return StructType.fromDDL(ddl)
+
+
 _SCOPES: list[list[str]] = []
 
 
@@ -84,8 +112,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _SCOPES.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(spark, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -1,15 +1,13 @@
-"""Structured Streaming jobs over raw order rows that arrive as files."""
+"""Structured Streaming jobs over raw rows that arrive as files."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..plans import marts
 from ..plans.staging import stage
+from ..sources import csv_tables
 
 
 def arriving_orders(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
@@ -32,81 +30,32 @@ def stream_staging(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def _affected_orders(orders: DataFrame, days: DataFrame, months: list[str]) -> DataFrame:
-    """All stored orders of the affected days. The months prune folders, the days prune rows."""
-    return (
-        orders.filter(F.col("order_month").isin(months))
-        .withColumn("order_date", F.col("order_purchase_ts").cast("date"))
-        .join(days, "order_date", "left_semi")
-        .drop("order_date")
-    )
-
-
-def refresh_days(orders: DataFrame, details: Mapping[str, DataFrame]) -> DataFrame:
-    """Daily KPIs of the given orders. Detail rows of other orders are dropped before
-    they are summed, so a small batch does not shuffle whole detail tables."""
-    ids = orders.select("order_id").distinct()
-    kept = {
-        name: details[name].join(ids, "order_id", "left_semi") for name in ("order_items", "payments", "reviews")
-    }
-    return marts.daily_kpi(marts.fct_orders({**details, **kept, "orders": orders}))
+def arriving_text(spark: SparkSession, table: str, directory: str, files_per_batch: int | None = None) -> DataFrame:
+    """Delimited text files of a table as they arrive, each row with its place and reject text."""
+    return csv_tables.parse_csv(spark, table, directory, stream=True, files_per_batch=files_per_batch)
 
 
-def stream_daily_kpi(
-    raw: DataFrame, details: Mapping[str, DataFrame], orders_path: str, kpi_path: str, checkpoint: str
-) -> StreamingQuery:
-    """Keep daily KPIs current while orders arrive.
+def stream_text(table: str, parsed: DataFrame, good: str, rejects: str, checkpoint: str) -> StreamingQuery:
+    """Stage the readable rows of arriving text and keep the others apart; stops when caught up.
 
-    Every batch stores its orders in its own partition, recomputes the KPIs of
-    the days it touched from all orders of those days, and writes them as the
-    batch's rows. Both writes replace the batch's partition, so a repeated batch
-    leaves the tables as they were.
+    A micro-batch is parsed once and goes to both tables, into a partition of its own that
+    a repeated batch replaces.
     """
-    spark = raw.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        staged = stage("orders", batch).withColumn("batch_id", F.lit(batch_id)).withColumn(
-            "order_month", F.coalesce(F.date_format("order_purchase_ts", "yyyy-MM"), F.lit("unknown"))
-        )
-        (
-            staged.hint("rebalance", F.col("order_month"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id", "order_month")
-            .parquet(orders_path)
-        )
-        stored = spark.read.schema(staged.schema).parquet(orders_path).filter(F.col("batch_id") <= batch_id)
-        days = (
-            stored.filter((F.col("batch_id") == batch_id) & F.col("order_purchase_ts").isNotNull())
-            .select(F.col("order_purchase_ts").cast("date").alias("order_date"), "order_month")
-            .distinct()
-        )
-        # Bounded by the calendar, not by the number of orders.
-        months = [r[0] for r in days.select("order_month").distinct().collect()]
-        affected = _affected_orders(stored, days.select("order_date"), months)
-        (
-            refresh_days(affected, details)
-            .withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(kpi_path)
-        )
+        batch = batch.persist()
+        try:
+            for rows, path in (
+                (stage(table, csv_tables.good_rows(batch)), good),
+                (csv_tables.rejected_rows(batch, table), rejects),
+            ):
+                rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
-        raw.writeStream.foreachBatch(handle)
+        parsed.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def current_daily_kpi(spark: SparkSession, kpi_path: str) -> DataFrame:
-    """One row per day: the newest batch that touched the day."""
-    stored = spark.read.parquet(kpi_path)
-    columns = [c for c in stored.columns if c not in ("batch_id", "kpi_date")]
-    return (
-        stored.groupBy("kpi_date")
-        .agg(F.max_by(F.struct(*columns), "batch_id").alias("k"))
-        .select("kpi_date", *[F.col(f"k.{c}").alias(c) for c in columns])
-    )

@@ -78,8 +78,9 @@ def test_csv_quotes_newlines_markers_and_rejects(spark, tmp_path):
         ("r2", "o2", None, None, None, "2018-01-01", "2018-01-02 10:00:00"),
     ]
     assert rows(csv_tables.good_rows(parsed).select("review_id")) == [("r1",), ("r2",)]
-    assert rows(csv_tables.rejected_rows(parsed)) == [
-        ("r3", "r3,o3,4"), ("r4", "r4,o4,4,a,b,2018-01-01,2018-01-02 10:00:00,extra"),
+    assert rows(csv_tables.rejected_rows(parsed, "reviews"), "first_field", "line", "reason", "file_name") == [
+        ("r3", "r3,o3,4", "too few fields", "reviews.csv"),
+        ("r4", "r4,o4,4,a,b,2018-01-01,2018-01-02 10:00:00,extra", "too many fields", "reviews.csv"),
     ]
 
 
@@ -87,7 +88,9 @@ def test_landed_tables_count_without_parsing_again(spark, tmp_path):
     path = _write(tmp_path, "sellers.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,a,SP\nbroken\n")
     landed = csv_tables.land(spark, str(tmp_path), str(tmp_path / "landed"), {"sellers": "sellers.csv"})
     assert csv_tables.good_rows(landed["sellers"]).count() == 1
-    assert rows(csv_tables.rejects_by_table(landed)) == [("sellers", "broken", "broken")]
+    assert rows(csv_tables.rejects_by_table(landed)) == [
+        ("sellers", "broken", "broken", "too few fields", "sellers.csv", 0)
+    ]
     assert path.endswith("sellers.csv")
 
 

@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
 from orderloom import schemas
-from orderloom.plans import dashboard, marts, refresh, registry
+from orderloom.plans import dashboard, refresh, registry
 from orderloom.sources import csv_tables, sinks, star_tables
-from orderloom.streaming import orders as order_streams
 
 AT = datetime(2024, 5, 1)
 
@@ -130,30 +129,6 @@ def test_newest_run_of_scores(spark):
     assert dashboard.latest_run(df.limit(0)).count() == 0
 
 
-def _raw_orders(spark):
-    raw = star_tables.raw_tables(spark, SMALL)["orders"]
-    return raw.filter("order_purchase_timestamp <> 'bad-date'")
-
-
-def test_streaming_equals_batch_and_survives_a_repeated_batch(spark, staging, tmp_path):
-    arriving = str(tmp_path / "arriving")
-    _raw_orders(spark).repartition(2, "order_id").write.parquet(arriving)
-    orders_path, kpi_path = str(tmp_path / "orders"), str(tmp_path / "kpi")
-
-    def run(state):
-        raw = order_streams.arriving_orders(spark, arriving, files_per_batch=1)
-        order_streams.stream_daily_kpi(raw, staging, orders_path, kpi_path, str(tmp_path / state)).awaitTermination()
-        return rows(order_streams.current_daily_kpi(spark, kpi_path))
-
-    from orderloom.plans.staging import stage
-
-    batch = marts.daily_kpi(marts.fct_orders({**staging, "orders": stage("orders", _raw_orders(spark))}))
-    want = rows(batch)
-    assert run("state") == want
-    # A lost checkpoint repeats both batches on the stored tables: the result stays.
-    assert run("other-state") == want
-
-
 def test_full_refresh_from_files(spark, tmp_path):
     src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
     for table, df in star_tables.raw_tables(spark, SMALL).items():
