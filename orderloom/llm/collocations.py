@@ -3,18 +3,17 @@
 1. Parse: texts are cut into pieces at punctuation and pieces into chunks. A chunk begins
    where the hash of a window of four words is a multiple of ``TRIGGER``, so equal passages
    are cut alike wherever they stand, and it reaches over the window that begins the next
-   one. The distinct chunks with their frequencies are the dictionary, stored once; copies
-   of documents and passages shrink to a number.
+   one. The distinct chunks with their frequencies are the dictionary; copies of documents
+   and passages shrink to a number. It is stored in blocks that number their own words.
 2. Count: n-grams are counted inside the distinct chunks, weighted by the frequency of the
    chunk. One that begins in the four words shared with the next chunk belongs to that
-   one, so every occurrence counts once. This is done for one length after the other: a
-   longer phrase is only counted where both phrases one word shorter are frequent. These
-   are known to the tasks as a bit map of fixed size over hashes, which may let a rare
-   phrase pass (it is dropped by its count) but holds back no frequent one.
-3. Score: every candidate is joined with the frequencies of the parts of its cuts.
-
-Counting is by the words themselves; hashes only decide where chunks begin and which
-positions are looked at.
+   one, so every occurrence counts once. Hashes are counted first, one length after the
+   other: a longer phrase is only looked at where both phrases one word shorter may be
+   frequent. What may be frequent is known to the tasks as a bit map of fixed size, which
+   lets some rare phrases pass but holds back no frequent one.
+3. The phrases that pass, of all lengths, are counted by their words in one more reading of
+   the dictionary. Hashes decide nothing but which positions are looked at.
+4. Score: every candidate is joined with the frequencies of the parts of its cuts.
 """
 
 from __future__ import annotations
@@ -37,8 +36,8 @@ _SHARED = LONGEST - 1
 #: Bits of the map of frequent phrases: 16 MB, whatever the size of the input.
 MAP_BITS = 27
 _MAP_ROW = 15  # Spark's bit map aggregate fills 2**15 bits a row
-#: Bytes of text, or of distinct chunks, that a task works on at a time.
-PARSE_BYTES, COUNT_BYTES = 4 << 20, 8 << 20
+#: Bytes of text that a task parses at a time, and of distinct chunks that make a block.
+PARSE_BYTES, BLOCK_BYTES = 4 << 20, 8 << 20
 NO_LANGUAGE = "und"
 # A to Z in lower case, the tab as a space and the marks that end a piece as line feeds.
 _TABLE = bytes(0x0A if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 0x09 else c for c in range(256)).lower()
@@ -72,9 +71,11 @@ class Words:
         breaks = np.flatnonzero(text == 0x0A)
         self.piece = np.searchsorted(breaks, self.start)
         self.line = np.searchsorted(np.cumsum(size), self.start, side="right")
-        self.lang = lang.indices.to_numpy().astype(np.int64)[self.line]
+        self.lang_of_line = lang.indices.to_numpy().astype(np.int64)
+        self.lang = self.lang_of_line[self.line]
         digest = xxhash.xxh3_64_intdigest
-        self.hash = np.array([digest(v) for v in self.values.to_pylist()], np.uint64)[self.code]
+        self.value_hash = np.array([digest(v) for v in self.values.to_pylist()], np.uint64)
+        self.hash = self.value_hash[self.code]
         self.lang_hash = np.array([digest(v) for v in self.langs.to_pylist()], np.uint64)
 
     def joined(self, start: np.ndarray, length: np.ndarray) -> pa.Array:
@@ -137,18 +138,83 @@ def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", trigg
     return found.groupBy("lang", "chunk", "goes_on").agg(F.sum("times").alias("times"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+_NUMBERS = {"hashes": np.uint64, "lang_hashes": np.uint64, "codes": np.int32, "lang": np.int32, "size": np.int32, "own": np.int32}
+_NUMBERS["times"] = np.int64
+_BLOCK = "words array<string>, langs array<string>, totals array<bigint>, " + ", ".join(f"{c} binary" for c in _NUMBERS)
+
+
+def _summed(group: np.ndarray, times: np.ndarray, size: int) -> np.ndarray:
+    total = np.zeros(size, np.int64)
+    np.add.at(total, group.ravel(), times)
+    return total
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Dictionary rows as blocks: the words of all chunks by number, and facts of each chunk."""
     waiting, size = [], 0
+
+    def block() -> pa.RecordBatch:
+        table = pa.Table.from_batches(waiting)
+        words = Words([c.encode() for c in table["chunk"].to_pylist()], table["lang"].combine_chunks())
+        length = np.bincount(words.line, minlength=table.num_rows)
+        own = length - np.where(table["goes_on"].to_numpy(), _SHARED, 0)
+        lang, times = words.lang_of_line, table["times"].to_numpy()
+        totals = _summed(lang, own * times, len(words.langs))
+        facts = [words.value_hash, words.lang_hash, words.code, lang, length, own, times]
+        packed = [[f.astype(kind).tobytes()] for f, kind in zip(facts, _NUMBERS.values())]
+        columns = [[words.values.cast(pa.string()).to_pylist()], [words.langs.to_pylist()], [totals.tolist()], *packed]
+        return pa.record_batch(columns, ["words", "langs", "totals", *_NUMBERS])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         waiting.append(batch)
         size += batch.nbytes
-        if size >= COUNT_BYTES:
-            yield pa.Table.from_batches(waiting)
+        if size >= BLOCK_BYTES:
+            yield block()
             waiting, size = [], 0
     if waiting:
-        yield pa.Table.from_batches(waiting)
+        yield block()
+
+
+class Block:
+    """A block of the dictionary: per word its number, hash, chunk and the words left in the chunk."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int):
+        """The values of words and languages are there where the batch has them."""
+        self.words, self.langs = (batch[c][row].values if c in batch.schema.names else None for c in ("words", "langs"))
+        hashes, lang_hashes, self.code, lang, size, own, times = (
+            np.frombuffer(batch[c][row].as_buffer(), kind) for c, kind in _NUMBERS.items()
+        )
+        self.hash = hashes[self.code]
+        place = np.arange(len(self.code)) - np.repeat(np.cumsum(size) - size, size)
+        self.left = np.where(place < np.repeat(own, size), np.repeat(size, size) - place, 0)  # 0: the next chunk's
+        self.times = np.repeat(times, size)
+        self.lang = np.repeat(lang, size)
+        self._grams = [_mixed(self.hash ^ lang_hashes[self.lang])]
+
+    def grams(self, n: int) -> np.ndarray:
+        """Hash of language and ``n`` words from each word on; they may reach into the next chunk."""
+        while len(self._grams) < n:
+            last = self._grams[-1]
+            self._grams.append(_mixed(last[:-1] * _ODD + self.hash[len(self._grams) :]) if len(last) else last)
+        return self._grams[n - 1]
+
+    def places(self, n: int, bits: np.ndarray | None, length: int) -> np.ndarray:
+        """Where phrases of ``n`` words begin whose parts of ``length`` words may be frequent."""
+        found = np.flatnonzero(self.left >= n)
+        if bits is not None:
+            for i in range(n - length + 1):
+                found = found[_frequent(bits, self.grams(length)[found + i])]
+        return found
+
+    def same(self, a: np.ndarray, b: np.ndarray, n: int) -> bool:
+        """Whether the phrases at ``a`` are those at ``b``, word by word."""
+        return bool((self.lang[a] == self.lang[b]).all()) and all((self.code[a + i] == self.code[b + i]).all() for i in range(n))
+
+    def phrases(self, at: np.ndarray, n: int) -> pa.Array:
+        parts = [self.words.take(pa.array(self.code[at + i])) for i in range(n)]
+        return pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
 
 
 def _frequent(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -156,52 +222,60 @@ def _frequent(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _count_block(block: pa.Table, n: int, bits: np.ndarray | None) -> pa.Table:
-    words = Words([c.encode() for c in block["chunk"].to_pylist()], block["lang"].combine_chunks())
-    total = len(words.code)
-    size = np.bincount(words.line, minlength=block.num_rows)
-    place = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-    own = size - np.where(block["goes_on"].to_numpy(), _SHARED, 0)
-    wanted = (place < own[words.line]) & (place + n <= size[words.line])
-    if n > 1:
-        frequent = np.zeros(total + 1, bool)
-        shorter = _frequent(bits, words.grams(n - 1))
-        frequent[: len(shorter)] = shorter
-        wanted &= frequent[:-1] & frequent[1:]
-    at = np.flatnonzero(wanted)
-    grams = words.grams(n)
-    _, first, group = np.unique(grams[at], return_index=True, return_inverse=True)
-    # Equal hashes of unequal words would be seen here; then the words themselves are grouped.
-    if any((words.code[at + i] != words.code[at[first][group] + i]).any() for i in range(n)) or (
-        words.lang[at] != words.lang[at[first][group]]
-    ).any():
-        keys = np.stack([words.lang[at], *[words.code[at + i] for i in range(n)]], axis=1)
+def _count_hashes(block: Block, n: int, bits: np.ndarray | None) -> pa.RecordBatch:
+    """Frequencies by hash of the phrases of ``n`` words whose parts of one word less may be frequent."""
+    at = block.places(n, bits, n - 1)
+    grams, group = np.unique(block.grams(n)[at], return_inverse=True)
+    total = _summed(group, block.times[at], len(grams))
+    return pa.record_batch([pa.array(grams.view(np.int64)), pa.array(total)], ["hash", "times"])
+
+
+def _count_phrases(block: Block, n: int, bits: np.ndarray) -> pa.RecordBatch:
+    """Frequencies by words of the phrases of ``n`` words that may be frequent."""
+    at = block.places(n, bits, n)
+    _, first, group = np.unique(block.grams(n)[at], return_index=True, return_inverse=True)
+    if not block.same(at, at[first][group], n):  # equal hashes of unequal words
+        keys = np.stack([block.lang[at], *[block.code[at + i] for i in range(n)]], axis=1)
         _, first, group = np.unique(keys, axis=0, return_index=True, return_inverse=True)
-    times = np.zeros(len(first), np.int64)
-    np.add.at(times, group.ravel(), block["times"].to_numpy()[words.line[at]])
     here = at[first]
-    return pa.table(
-        {
-            "lang": words.langs.take(pa.array(words.lang[here])),
-            "phrase": words.joined(here, np.full(len(here), n)),
-            "hash": pa.array(grams[here].view(np.int64)),
-            "times": times,
-        }
-    )
+    columns = [block.langs.take(pa.array(block.lang[here])), block.phrases(here, n)]
+    return pa.record_batch([*columns, pa.array(_summed(group, block.times[at], len(here)))], ["lang", "phrase", "times"])
 
 
-def _count(chunks: DataFrame, n: int, bits: np.ndarray | None) -> DataFrame:
-    """Frequencies of the phrases of ``n`` words whose parts of one word less may be frequent."""
-    shared = chunks.sparkSession.sparkContext.broadcast(bits)
-
+def _over_blocks(blocks: DataFrame, count, schema: str) -> DataFrame:
     def run(batches):
-        for block in _blocks(batches):
-            yield from _count_block(block, n, shared.value).to_batches(max_chunksize=100_000)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                for found in count(Block(batch, row)):
+                    for low in range(0, found.num_rows, 100_000):
+                        yield found.slice(low, 100_000)
+
+    return blocks.mapInArrow(run, schema)
 
-    found = chunks.select("lang", "chunk", "goes_on", "times").mapInArrow(
-        run, "lang string, phrase string, hash long, times long"
+
+def _frequent_hashes(blocks: DataFrame, n: int, bits: np.ndarray | None, min_count: int) -> DataFrame:
+    shared = blocks.sparkSession.sparkContext.broadcast(bits)
+    found = _over_blocks(
+        blocks.select(*_NUMBERS), lambda block: [_count_hashes(block, n, shared.value)], "hash long, times long"
+    )
+    return found.groupBy("hash").agg(F.sum("times").alias("f")).filter(F.col("f") >= min_count)
+
+
+def _phrases(blocks: DataFrame, maps: list[np.ndarray], min_count: int) -> DataFrame:
+    """All frequent phrases: ``lang, phrase, f``."""
+    shared = blocks.sparkSession.sparkContext.broadcast(maps)
+    found = _over_blocks(
+        blocks.select("words", "langs", *_NUMBERS),
+        lambda block: (_count_phrases(block, n, bits) for n, bits in enumerate(shared.value, 1)),
+        "lang string, phrase string, times long",
     )
-    return found.groupBy("lang", "phrase").agg(F.sum("times").alias("f"), F.min("hash").alias("hash"))
+    return found.groupBy("lang", "phrase").agg(F.sum("times").alias("f")).filter(F.col("f") >= min_count)
+
+
+def _totals(blocks: DataFrame) -> DataFrame:
+    """How many words each language has."""
+    found = blocks.select(F.inline(F.arrays_zip("langs", "totals")))
+    return found.groupBy(F.col("langs").alias("lang")).agg(F.sum("totals").alias("n"))
 
 
 def _bit_map(frequent: DataFrame) -> np.ndarray:
@@ -273,15 +347,12 @@ def collocations(
     null and empty texts have no words; repeated rows count as often as they stand there;
     an empty table gives an empty result; other columns are ignored.
     """
-    chunks = stored(parse(docs, text_col, lang_col, trigger), "chunks")
-    counts = stored(_count(chunks, 1, None), "words")
-    totals = stored(counts.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
-    frequent = stored(counts.filter(F.col("f") >= min_count), "phrases-1")
-    phrases = frequent
-    for n in range(2, LONGEST + 1):
-        counts = _count(chunks, n, _bit_map(frequent))
-        frequent = stored(counts.filter(F.col("f") >= min_count), f"phrases-{n}")
-        phrases = phrases.unionByName(frequent)
+    blocks = stored(parse(docs, text_col, lang_col, trigger).mapInArrow(_pack, _BLOCK), "chunk-blocks")
+    maps, bits = [], None
+    for n in range(1, LONGEST + 1):
+        bits = _bit_map(_frequent_hashes(blocks, n, bits, min_count))
+        maps.append(bits)
+    phrases, totals = stored(_phrases(blocks, maps, min_count), "phrases"), _totals(blocks)
     scored = _scored(phrases, totals).join(_held(phrases), ["lang", "phrase"], "left")
     kept = scored.filter(F.col("longer").isNull() | (F.col("longer") < F.col("a")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -81,18 +81,22 @@ def test_small_blocks_and_a_full_map_change_nothing(spark, phrases, monkeypatch)
 
 def test_equal_hashes_are_counted_by_words(monkeypatch):
     monkeypatch.setattr(collocations, "_mixed", lambda h: h & np.uint64(1))
-    block = pa.table({"lang": ["en", "en", "de"], "chunk": ["a b a b c", "b a", "a b"], "goes_on": [False] * 3, "times": [2, 5, 7]})
+    rows = pa.record_batch(
+        [["en", "en", "de"], ["a b a b c", "b a", "a b"], [False] * 3, [2, 5, 7]], ["lang", "chunk", "goes_on", "times"]
+    )
+    block = collocations.Block(next(collocations._pack(iter([rows]))), 0)
     full = np.full(1 << (collocations.MAP_BITS - 3), 255, np.uint8)
-    found = collocations._count_block(block, 2, full).to_pylist()
+    found = collocations._count_phrases(block, 2, full).to_pylist()
     assert {(r["lang"], r["phrase"]): r["times"] for r in found} == {
         ("en", "a b"): 4, ("en", "b a"): 7, ("en", "b c"): 2, ("de", "a b"): 7,
     }
+    assert sum(r["times"] for r in collocations._count_hashes(block, 2, full).to_pylist()) == 20
 
 
 def test_scores_pass_64_bits(spark):
     big = 10**13
-    rows = [("en", "a", big, 1), ("en", "b", big + 7, 2), ("en", "a b", big - 1, 3)]
-    phrases = spark.createDataFrame(rows, "lang string, phrase string, f long, hash long")
+    rows = [("en", "a", big), ("en", "b", big + 7), ("en", "a b", big - 1)]
+    phrases = spark.createDataFrame(rows, "lang string, phrase string, f long")
     totals = spark.createDataFrame([("en", 10**15)], "lang string, n long")
     row = collocations._scored(phrases, totals).first()
     assert row["score"] == 1000 * (big - 1) * 10**15 // (big * (big + 7))
