@@ -26,16 +26,13 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import prepare, read_table, slices, stored, strings, text_of
+from .common import BitMap, bit_map, prepare, read_table, slices, stored, strings, text_of
 
 MIN_COUNT, TOP, LONGEST = 100, 2000, 5
 #: One in so many windows begins a chunk.
 TRIGGER = 32
 #: Words that two chunks share: one less than the longest phrase has.
 _SHARED = LONGEST - 1
-#: Bits of the map of frequent phrases: 16 MB, whatever the size of the input.
-MAP_BITS = 27
-_MAP_ROW = 15  # Spark's bit map aggregate fills 2**15 bits a row
 #: Bytes of text that a task parses at a time, and of distinct chunks that make a block.
 PARSE_BYTES, BLOCK_BYTES = 4 << 20, 8 << 20
 NO_LANGUAGE = "und"
@@ -200,12 +197,12 @@ class Block:
             self._grams.append(_mixed(last[:-1] * _ODD + self.hash[len(self._grams) :]) if len(last) else last)
         return self._grams[n - 1]
 
-    def places(self, n: int, bits: np.ndarray | None, length: int) -> np.ndarray:
+    def places(self, n: int, bits: BitMap | None, length: int) -> np.ndarray:
         """Where phrases of ``n`` words begin whose parts of ``length`` words may be frequent."""
         found = np.flatnonzero(self.left >= n)
         if bits is not None:
             for i in range(n - length + 1):
-                found = found[_frequent(bits, self.grams(length)[found + i])]
+                found = found[bits.holds(self.grams(length)[found + i])]
         return found
 
     def same(self, a: np.ndarray, b: np.ndarray, n: int) -> bool:
@@ -217,12 +214,7 @@ class Block:
         return pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
 
 
-def _frequent(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    at = grams & np.uint64((1 << MAP_BITS) - 1)
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def _count_hashes(block: Block, n: int, bits: np.ndarray | None) -> pa.RecordBatch:
+def _count_hashes(block: Block, n: int, bits: BitMap | None) -> pa.RecordBatch:
     """Frequencies by hash of the phrases of ``n`` words whose parts of one word less may be frequent."""
     at = block.places(n, bits, n - 1)
     grams, group = np.unique(block.grams(n)[at], return_inverse=True)
@@ -230,7 +222,7 @@ def _count_hashes(block: Block, n: int, bits: np.ndarray | None) -> pa.RecordBat
     return pa.record_batch([pa.array(grams.view(np.int64)), pa.array(total)], ["hash", "times"])
 
 
-def _count_phrases(block: Block, n: int, bits: np.ndarray) -> pa.RecordBatch:
+def _count_phrases(block: Block, n: int, bits: BitMap) -> pa.RecordBatch:
     """Frequencies by words of the phrases of ``n`` words that may be frequent."""
     at = block.places(n, bits, n)
     _, first, group = np.unique(block.grams(n)[at], return_index=True, return_inverse=True)
@@ -253,7 +245,7 @@ def _over_blocks(blocks: DataFrame, count, schema: str) -> DataFrame:
     return blocks.mapInArrow(run, schema)
 
 
-def _frequent_hashes(blocks: DataFrame, n: int, bits: np.ndarray | None, min_count: int) -> DataFrame:
+def _frequent_hashes(blocks: DataFrame, n: int, bits: BitMap | None, min_count: int) -> DataFrame:
     shared = blocks.sparkSession.sparkContext.broadcast(bits)
     found = _over_blocks(
         blocks.select(*_NUMBERS), lambda block: [_count_hashes(block, n, shared.value)], "hash long, times long"
@@ -261,7 +253,7 @@ def _frequent_hashes(blocks: DataFrame, n: int, bits: np.ndarray | None, min_cou
     return found.groupBy("hash").agg(F.sum("times").alias("f")).filter(F.col("f") >= min_count)
 
 
-def _phrases(blocks: DataFrame, maps: list[np.ndarray], min_count: int) -> DataFrame:
+def _phrases(blocks: DataFrame, maps: list[BitMap], min_count: int) -> DataFrame:
     """All frequent phrases: ``lang, phrase, f``."""
     shared = blocks.sparkSession.sparkContext.broadcast(maps)
     found = _over_blocks(
@@ -278,18 +270,6 @@ def _totals(blocks: DataFrame) -> DataFrame:
     return found.groupBy(F.col("langs").alias("lang")).agg(F.sum("totals").alias("n"))
 
 
-def _bit_map(frequent: DataFrame) -> np.ndarray:
-    """The bits of all hashes of a table, made by Spark in rows of 4 KB."""
-    bit = F.col("hash").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    rows = frequent.groupBy(F.shiftright(bit, _MAP_ROW).alias("row")).agg(
-        F.bitmap_construct_agg(bit.bitwiseAND(F.lit((1 << _MAP_ROW) - 1))).alias("bits")
-    )
-    found = np.zeros((1 << (MAP_BITS - _MAP_ROW), 1 << (_MAP_ROW - 3)), np.uint8)
-    for r in rows.collect():
-        found[r["row"]] = np.frombuffer(r["bits"], np.uint8)
-    return found.ravel()
-
-
 def _words(first: Column | int, length: Column | int) -> Column:
     return F.array_join(F.slice(F.split("phrase", " "), first, length), " ")
 
@@ -350,7 +330,7 @@ def collocations(
     blocks = stored(parse(docs, text_col, lang_col, trigger).mapInArrow(_pack, _BLOCK), "chunk-blocks")
     maps, bits = [], None
     for n in range(1, LONGEST + 1):
-        bits = _bit_map(_frequent_hashes(blocks, n, bits, min_count))
+        bits = bit_map(_frequent_hashes(blocks, n, bits, min_count).select("hash"))
         maps.append(bits)
     phrases, totals = stored(_phrases(blocks, maps, min_count), "phrases"), _totals(blocks)
     scored = _scored(phrases, totals).join(_held(phrases), ["lang", "phrase"], "left")

@@ -10,9 +10,12 @@ import pyarrow as pa
 import pytest
 
 from llm.cases import SMALL
-from orderloom.llm import collocations, lexical_search
+from orderloom.llm import collocations, common, lexical_search
 from orderloom.llm.common import read_table
 
+#: A map that holds back nothing.
+FULL = common.BitMap(np.full(1 << (common.MAP_BITS - 3), 255, np.uint8))
+
 # ------------------------------------------------------------------------ collocations
 
 
@@ -75,7 +78,7 @@ def test_collocations(spark, phrases, trigger):
 def test_small_blocks_and_a_full_map_change_nothing(spark, phrases, monkeypatch):
     wanted = _plain_collocations(phrases, 4, 1000)
     docs = spark.createDataFrame(phrases, "text string, lang string")
-    monkeypatch.setattr(collocations, "_bit_map", lambda frequent: np.full(1 << (collocations.MAP_BITS - 3), 255, np.uint8))
+    monkeypatch.setattr(collocations, "bit_map", lambda hashes: FULL)
     assert _found(collocations.collocations(docs, min_count=4, top=1000, trigger=4)) == wanted
 
 
@@ -85,12 +88,11 @@ def test_equal_hashes_are_counted_by_words(monkeypatch):
         [["en", "en", "de"], ["a b a b c", "b a", "a b"], [False] * 3, [2, 5, 7]], ["lang", "chunk", "goes_on", "times"]
     )
     block = collocations.Block(next(collocations._pack(iter([rows]))), 0)
-    full = np.full(1 << (collocations.MAP_BITS - 3), 255, np.uint8)
-    found = collocations._count_phrases(block, 2, full).to_pylist()
+    found = collocations._count_phrases(block, 2, FULL).to_pylist()
     assert {(r["lang"], r["phrase"]): r["times"] for r in found} == {
         ("en", "a b"): 4, ("en", "b a"): 7, ("en", "b c"): 2, ("de", "a b"): 7,
     }
-    assert sum(r["times"] for r in collocations._count_hashes(block, 2, full).to_pylist()) == 20
+    assert sum(r["times"] for r in collocations._count_hashes(block, 2, FULL).to_pylist()) == 20
 
 
 def test_scores_pass_64_bits(spark):
@@ -104,9 +106,9 @@ def test_scores_pass_64_bits(spark):
 
 def test_bit_map_holds_exactly_the_hashes(spark):
     hashes = [0, 1, -1, 12345678901, -(2**63), 2**63 - 1, 1 << 26]
-    bits = collocations._bit_map(spark.createDataFrame([(h,) for h in hashes], "hash long"))
-    assert collocations._frequent(bits, np.array(hashes, np.int64).view(np.uint64)).all()
-    assert int(np.unpackbits(bits).sum()) == len({h & ((1 << collocations.MAP_BITS) - 1) for h in hashes})
+    bits = common.bit_map(spark.createDataFrame([(h,) for h in hashes], "hash long"))
+    assert bits.holds(np.array(hashes, np.int64).view(np.uint64)).all()
+    assert int(np.unpackbits(bits.bits).sum()) == len({h & ((1 << common.MAP_BITS) - 1) for h in hashes})
 
 
 def test_collocations_of_odd_tables(spark, odd_docs):
