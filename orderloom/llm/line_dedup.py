@@ -1,10 +1,11 @@
 """Removal of passages that an earlier document has, by pairwise alignment of lines.
 
 1. Every line gets a hash. Documents that share a rare line (in at most ``RARE`` documents)
-   are paired: the holder with the earliest one and with the one just before it. For lines
-   of any frequency, a document is paired with the earliest one that has the same run of
-   lines, for each shortest run that is long enough to be deleted. Pairs are linear in the
-   number of lines: nothing is capped.
+   are paired, every later one with every earlier one. Passages without a rare line have
+   another way, so that nothing is capped: a document is paired with the earliest one that
+   has the same run of lines, for each shortest run of common lines that is long enough to
+   be deleted. Which lines are common is known to the tasks as a bit map of fixed size; a
+   rare line that looks common only adds a run. Pairs are linear in the number of lines.
 2. Each pair is aligned with patience diff over line hashes: lines that are unique in both
    documents and in the same order are anchors, and blocks grow from them over equal
    neighbours; passages that were moved are found from the anchors left over. Only line
@@ -14,7 +15,8 @@
 
 Documents are ordered by id (null first), then by text hash. Equal lines of a hot passage
 are first counted per task; the join that hands the earliest holder back, and the one that
-fetches its lines, are splittable.
+fetches its lines, are splittable. Text stays where it is read: only documents that may
+lose a line, by a bit map of fixed size, are shuffled to meet their deletions.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import prepare, read_table, stored, text_of
+from .common import BitMap, bit_map, prepare, read_table, stored, text_of, unused_name
 
 MIN_WORDS = 20
 LINE_WORDS = 4
@@ -61,15 +63,19 @@ def shortest_runs(words: np.ndarray, min_words: int) -> set[tuple[int, int]]:
     return runs | set(zip(lows[fit].tolist(), (starts[fit] + 1).tolist()))
 
 
-def _runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """``_doc, _hash`` of each distinct shortest run of lines that is long enough."""
+def _runs(lines: DataFrame, common: BitMap, line_words: int, min_words: int) -> DataFrame:
+    """``_doc, _hash`` of each distinct shortest run without a rare line that is long enough."""
+    shared = lines.sparkSession.sparkContext.broadcast(common)
 
     def read(batches):
         for batch in batches:
             docs, found = [], []
             for doc, hashes, words in zip(batch["_doc"].to_pylist(), batch["hashes"], batch["words"]):
-                own = hashes.values.to_numpy()
-                keys = {xxhash.xxh3_64_intdigest(own[a:b].tobytes()) for a, b in shortest_runs(words.values.to_numpy(), min_words)}
+                own, words = hashes.values.to_numpy(), words.values.to_numpy()
+                rare = (words >= line_words) & ~shared.value.holds(own.view(np.uint64))
+                before = np.concatenate([[0], np.cumsum(rare)])
+                runs = (r for r in shortest_runs(words, min_words) if before[r[0]] == before[r[1]])
+                keys = {xxhash.xxh3_64_intdigest(own[a:b].tobytes()) for a, b in runs}
                 docs += [doc] * len(keys)
                 found += keys
             yield pa.record_batch({"_doc": pa.array(docs, pa.int64()), "_hash": pa.array(np.array(found, np.uint64).view(np.int64))})
@@ -80,18 +86,19 @@ def _runs(lines: DataFrame, min_words: int) -> DataFrame:
 
 def _pairs(lines: DataFrame, line_words: int, min_words: int) -> DataFrame:
     """Distinct pairs (later, earlier) of document numbers."""
-
-    def shared(held: DataFrame) -> DataFrame:
-        uses = held.groupBy("_hash").agg(F.count("*").alias("_uses"), F.min("_doc").alias("_first")).filter("_uses > 1")
-        return held.join(uses, "_hash")
-
     held = lines.select("_doc", F.explode("_lines").alias("_line")).filter(F.col("_line.words") >= line_words)
     held = held.select("_doc", F.col("_line.hash").alias("_hash")).distinct()
-    rare = shared(held).filter(F.col("_uses") <= RARE)
-    just_before = F.lag("_doc").over(Window.partitionBy("_hash").orderBy("_doc"))
-    rare = rare.withColumn("_before", just_before).select("_doc", F.explode(F.array("_first", "_before")).alias("_first"))
-    pairs = rare.union(shared(_runs(lines, min_words)).select("_doc", "_first"))
-    return pairs.filter("_first < _doc").select(F.col("_doc").alias("later"), F.col("_first").alias("earlier")).distinct()
+    uses = stored(held.groupBy("_hash").agg(F.count("*").alias("_uses")).filter("_uses > 1"), "line-uses")
+    # At most RARE documents are collected for a line.
+    rare = held.join(uses.filter(F.col("_uses") <= RARE).select("_hash"), "_hash")
+    holders = rare.groupBy("_hash").agg(F.sort_array(F.collect_list("_doc")).alias("_docs")).select("_docs").distinct()
+    earlier = lambda doc, at: F.transform(F.slice("_docs", 1, at), lambda e: F.struct(doc.alias("later"), e.alias("earlier")))
+    pairs = holders.select(F.inline(F.flatten(F.transform("_docs", earlier))))
+    common = bit_map(uses.filter(F.col("_uses") > RARE).select("_hash"))
+    runs = _runs(lines, common, line_words, min_words)
+    first = runs.groupBy("_hash").agg(F.min("_doc").alias("earlier"), F.count("*").alias("_uses")).filter("_uses > 1")
+    repeated = runs.join(first, "_hash").filter("earlier < _doc").select(F.col("_doc").alias("later"), "earlier")
+    return pairs.union(repeated).distinct()
 
 
 def _increasing(values: np.ndarray) -> list[int]:
@@ -216,18 +223,30 @@ def remove_repeated_passages(
     pairs = stored(_pairs(numbered, line_words, min_words), "line-pairs")
     gone = _aligned(pairs, numbered, min_words).groupBy("later").agg(F.sort_array(F.collect_set("line")).alias("removed_lines"))
     gone = stored(gone.join(numbers, F.col("later") == F.col("_doc")).select("_id", "_text_hash", "removed_lines"), "removed")
-    rows = docs.drop("n_lines", "removed_lines").withColumn("_text_hash", F.xxhash64(text_of(text_col)))
-    on = F.col(f"d.{id_col}").eqNullSafe(F.col("g._id")) & (F.col("d._text_hash") == F.col("g._text_hash"))
+    key = unused_name(docs, "_text_hash")
+    rows = docs.drop("n_lines", "removed_lines").withColumn(key, F.xxhash64(text_of(text_col)))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_map(gone.select(F.xxhash64("_id", "_text_hash"))))
+
+    @F.arrow_udf("boolean")
+    def may_lose(hashes: pa.Array) -> pa.Array:
+        return pa.array(bits.value.holds(hashes.to_numpy().view(np.uint64)))
+
+    touched = may_lose(F.xxhash64(id_col, key))
+    on = F.col(f"d.{id_col}").eqNullSafe(F.col("g._id")) & (F.col(f"d.{key}") == F.col("g._text_hash"))
+    joined = rows.filter(touched).alias("d").join(gone.alias("g"), on, "left")
     parts = F.split(text_of(text_col), "\n")
-    kept = F.filter(parts, lambda _, i: ~F.array_contains("removed_lines", i))
+    kept = F.filter(parts, lambda _, i: ~F.array_contains("g.removed_lines", i))
     own = [c for c in docs.columns if c not in ("n_lines", "removed_lines")]
-    joined = rows.alias("d").join(gone.alias("g"), on, "left")
-    cleaned = F.when(F.col("removed_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return joined.select(
+    cleaned = F.when(F.col("g.removed_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    none = F.array().cast("array<int>")
+    n_lines = F.size(parts).cast("long").alias("n_lines")
+    changed = joined.select(
         *[cleaned.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in own],
-        F.size(parts).cast("long").alias("n_lines"),
-        F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"),
+        n_lines,
+        F.coalesce("g.removed_lines", none).alias("removed_lines"),
     )
+    same = rows.filter(~touched).select(*[F.col(f"`{c}`") for c in own], n_lines, none.alias("removed_lines"))
+    return same.unionByName(changed)
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
