@@ -21,44 +21,66 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import prepare, read_table, stored, text_of
+from .common import prepare, read_table, slices, stored, text_of
 from .tokens import END_ID, TOKENIZER_FILE, Segments
 
 SEQUENCE = 1024
+#: Bytes of text that are tokenised at a time.
+TEXT_BYTES = 1 << 21
 _BASE = 1 << 40
 
 
-def _pieces(docs: DataFrame, id_col: str, text_col: str, sequence: int, tokenizer_file: str) -> DataFrame:
+def _cut(counts: np.ndarray, sequence: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For texts of ``counts`` tokens: text, start and length of every piece."""
+    pieces = -(-counts // sequence)
+    text = np.repeat(np.arange(len(counts)), pieces)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    start = nth * sequence
+    return text, start, np.minimum(sequence, counts[text] - start)
+
+
+def _ranked(length: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """How many pieces of its length each piece comes after; ``used`` goes on counting."""
+    order = np.argsort(length, kind="stable")
+    new = np.bincount(length, minlength=len(used))
+    rank = np.empty(len(length), np.int64)
+    rank[order] = used[length[order]] + np.arange(len(length)) - np.repeat(np.cumsum(new) - new, new)
+    used += new
+    return rank
+
+
+def _pieces(docs: DataFrame, id_col: str, text_col: str, sequence: int, tokenizer_file: str, with_ids: bool) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_text"))
 
     def cut(batches):
         segments = Segments.shared(tokenizer_file)
         part = TaskContext.get().partitionId()
-        used: dict[int, int] = defaultdict(int)  # rests of each length so far; full sequences at the full length
+        used = np.zeros(sequence + 1, np.int64)  # pieces of each length so far
         for batch in batches:
-            at, starts, lengths, totals, ranks, ids = [], [], [], [], [], []
-            for row, tokens in segments.encode(batch["_text"]):
-                tokens = np.append(tokens, END_ID).astype("<u4")
-                for start in range(0, len(tokens), sequence):
-                    piece = tokens[start : start + sequence]
-                    at.append(row)
-                    starts.append(start)
-                    lengths.append(len(piece))
-                    totals.append(len(tokens))
-                    ranks.append(used[len(piece)])
-                    used[len(piece)] += 1
-                    ids.append(piece.tobytes())
-            columns = {"doc_id": batch["doc_id"].take(pa.array(at, pa.int64()))}
-            for name, values in (("start", starts), ("length", lengths), ("doc_tokens", totals), ("rank", ranks)):
-                columns[name] = pa.array(values, pa.int64())
-            yield pa.record_batch(columns | {"part": pa.array([part] * len(at), pa.int64()), "ids": pa.array(ids, pa.binary())})
+            for texts in slices(batch, pc.binary_length(batch["_text"]), TEXT_BYTES):
+                for row, counts, ids in segments.encode(texts["_text"]):
+                    ids = np.insert(ids.astype("<u4"), np.cumsum(counts), END_ID)
+                    text, start, length = _cut(counts + 1, sequence)
+                    # Pieces stand on end, as the texts do.
+                    ends = 4 * np.concatenate([[0], np.cumsum(length)])
+                    data = memoryview(ids.tobytes())
+                    crc = [zlib.crc32(data[a:b]) for a, b in zip(ends, ends[1:])]
+                    columns = {"doc_id": texts["doc_id"].take(pa.array(row[text]))}
+                    numbers = {"start": start, "length": length, "doc_tokens": counts[text] + 1}
+                    numbers |= {"ids_crc32": np.array(crc, np.int64), "rank": _ranked(length, used), "part": np.full(len(text), part)}
+                    columns |= {name: pa.array(values, pa.int64()) for name, values in numbers.items()}
+                    if with_ids:
+                        offsets = pa.py_buffer(ends.astype(np.int32))
+                        columns["ids"] = pa.Array.from_buffers(pa.binary(), len(text), [None, offsets, pa.py_buffer(data)])
+                    yield pa.record_batch(columns)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, start long, length long, doc_tokens long, rank long, part long, ids binary"
-    return rows.mapInArrow(cut, schema)
+    schema = f"doc_id {kind}, start long, length long, doc_tokens long, ids_crc32 long, rank long, part long"
+    return rows.mapInArrow(cut, f"{schema}, ids binary" if with_ids else schema)
 
 
 def pack_patterns(histogram: dict[int, int], sequence: int) -> list[tuple[tuple[int, ...], int]]:
@@ -123,17 +145,20 @@ def pack(
     text_col: str = "text",
     sequence: int = SEQUENCE,
     tokenizer_file: str = TOKENIZER_FILE,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, doc_tokens, sequence_id, offset, ids``.
-
-    ``ids`` holds the piece's token ids as little-endian unsigned 32-bit numbers. A document
-    ends with id 0; a null or empty text is that id alone. ``sequence_id`` counts from 0
-    without gaps, ``offset`` from 0 without gaps in each sequence. A row without an id or
-    with a repeated id is packed like any other. An empty table gives an empty result;
-    other columns are ignored.
+    """One row per piece: ``doc_id, start, length, doc_tokens, ids_crc32, ids, sequence_id, offset``.
+
+    ``ids`` holds the piece's token ids as little-endian unsigned 32-bit numbers, and
+    ``ids_crc32`` their check sum; where the check sum is enough, ``with_ids=False`` keeps the
+    ids from being stored. A document ends with id 0; a null or empty text is that id alone.
+    The text of a special token becomes that token, as the tokenizer file has it.
+    ``sequence_id`` counts from 0 without gaps, ``offset`` from 0 without gaps in each
+    sequence. A row without an id or with a repeated id is packed like any other. An empty
+    table gives an empty result; other columns are ignored.
     """
     spark = prepare(docs.sparkSession)
-    pieces = stored(_pieces(docs, id_col, text_col, sequence, tokenizer_file), "pieces")
+    pieces = stored(_pieces(docs, id_col, text_col, sequence, tokenizer_file, with_ids), "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = stored(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "piece-counts")
@@ -149,14 +174,12 @@ def pack(
             columns["sequence_id"] = pa.array(table["sequence"][at] + key - table["key"][at])
             yield pa.record_batch(columns | {"offset": pa.array(table["offset"][at])})
 
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
+    own = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
+    schema = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in own)
     ranked = pieces.join(counts.select("part", "length", "before"), ["part", "length"])
-    return ranked.select("doc_id", "start", "length", "doc_tokens", "ids", "rank", "before").mapInArrow(place, schema)
+    return ranked.select(*own, "rank", "before").mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:
-    packed = pack(read_table(spark, sf_dir, "documents"))
-    return packed.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    packed = pack(read_table(spark, sf_dir, "documents"), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -42,7 +42,7 @@ class Segments:
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.opens = np.zeros(size, bool)  # tokens that begin with a space
         for token, i in self.tokenizer.get_vocab().items():
@@ -89,31 +89,36 @@ class Segments:
         return first, count, pool
 
     def _cut_texts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
-        """Rows and their segments; texts with runs of white space are cut more carefully."""
+        """Rows and their segments; texts with runs of white space are cut more carefully.
+
+        Texts that hold the text of a special token are not cut.
+        """
         careful = pc.match_substring_regex(texts, _BESIDE_SPACE).to_numpy(zero_copy_only=False)
-        plain = np.flatnonzero(~careful)
+        whole = np.zeros(len(texts), bool)
+        for mark in self.marks:
+            whole |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(~careful & ~whole)
         yield plain, pc.split_pattern(texts.take(pa.array(plain)), " ")
-        rows = np.flatnonzero(careful)
-        cut = [_CUT.split(t) for t in texts.take(pa.array(rows)).to_pylist()]
+        rows = np.flatnonzero(careful | whole)
+        cut = [[t] if w else _CUT.split(t) for t, w in zip(texts.take(pa.array(rows)).to_pylist(), whole[rows])]
         yield rows, pa.array(cut, pa.large_list(pa.large_string()))
 
-    def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-        """Row number and ids of every text of a batch, null as empty."""
+    def encode(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Groups of row numbers, how many ids each has, and the ids of the group on end; null as empty."""
         for rows, lists in self._cut_texts(strings(column)):
             if not len(rows):
                 continue
             bounds = np.asarray(lists.offsets)
+            bounds = bounds - bounds[0]
             coded = lists.flatten().dictionary_encode()
             segment = coded.indices.to_numpy()
-            heads = bounds[:-1] - bounds[0]
-            bounds = bounds - bounds[0]
-            # The first segment of a text follows no space.
+            # The first segment of a text follows no space; its ids stand behind the others.
+            heads = bounds[:-1]
             head_ids = self._one_by_one(lists.flatten().take(pa.array(heads)).to_pylist())
             first, count, pool = self._lookup(coded.dictionary.to_pylist())
-            for row, low, high, head in zip(rows, bounds[:-1], bounds[1:], head_ids):
-                own = segment[low + 1 : high]
-                lengths = count[own]
-                ends = np.cumsum(lengths)
-                total = int(ends[-1]) if len(ends) else 0
-                at = np.repeat(first[own] - (ends - lengths), lengths) + np.arange(total)
-                yield int(row), np.concatenate([head, pool[at]])
+            first, count = first[segment], count[segment]
+            own = np.array([len(h) for h in head_ids], np.int64)
+            count[heads], first[heads] = own, len(pool) + np.cumsum(own) - own
+            ends = np.concatenate([[0], np.cumsum(count)])
+            at = np.repeat(first - ends[:-1], count) + np.arange(ends[-1])
+            yield rows, np.diff(ends[bounds]), np.concatenate([pool, *head_ids])[at]

@@ -7,37 +7,46 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from llm.cases import ODD_TEXTS, SMALL
 from orderloom.llm import packing
 from orderloom.llm.tokens import END_ID, TOKENIZER_FILE, Segments
 
 SEGMENTS = Segments(TOKENIZER_FILE)
+FRESH = Tokenizer.from_file(TOKENIZER_FILE)
 
 
 def _whole(text):
-    return SEGMENTS.tokenizer.encode(text or "", add_special_tokens=False).ids
+    return FRESH.encode(text or "", add_special_tokens=False).ids
+
+
+def _encoded(segments, texts):
+    found = {}
+    for rows, counts, ids in segments.encode(pa.array(texts, pa.string())):
+        ends = np.cumsum(counts)
+        found |= {int(r): ids[e - n : e].tolist() for r, n, e in zip(rows, counts, ends)}
+    return [found[i] for i in range(len(texts))]
 
 
 def test_segments_give_the_ids_of_whole_texts(documents):
     texts = [r["text"] for r in documents.select("text").collect()] + ODD_TEXTS
     texts += [" lead", "trail ", "a \n b", "a  b", "\n\n", "l'été d'y can't", " . .. ", "tab\tx  y z  w"]
-    got = dict(SEGMENTS.encode(pa.array(texts)))
-    assert {i: list(ids) for i, ids in got.items()} == {i: _whole(t) for i, t in enumerate(texts)}
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y  z", "<|endoftext| >"]
+    assert _encoded(SEGMENTS, texts) == [_whole(t) for t in texts]
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=" \n\tab'1.,é 　漢<|>"), max_size=4))
+@given(st.lists(st.lists(st.sampled_from([*" \n\tab'1.,é\u00a0\u3000漢<|>", "<|endoftext|>"]), max_size=12).map("".join), max_size=4))
 def test_segments_of_any_text(texts):
-    got = dict(SEGMENTS.encode(pa.array(texts, pa.string())))
-    assert [list(got[i]) for i in range(len(texts))] == [_whole(t) for t in texts]
+    assert _encoded(SEGMENTS, texts) == [_whole(t) for t in texts]
 
 
 def test_memory_of_segments_is_bounded(monkeypatch):
     monkeypatch.setattr("orderloom.llm.tokens.REMEMBERED", 3)
     small = Segments(TOKENIZER_FILE)
     for texts in (["a b c d e f"], ["b c"], ["x y z b"]):
-        assert [list(i) for _, i in small.encode(pa.array(texts))] == [_whole(t) for t in texts]
+        assert _encoded(small, texts) == [_whole(t) for t in texts]
     assert len(small.known) <= 3
 
 
@@ -64,7 +73,7 @@ def _check(rows, texts, sequence):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
         ids = np.frombuffer(r["ids"], "<u4")
-        assert len(ids) == r["length"] <= sequence
+        assert len(ids) == r["length"] <= sequence and r["ids_crc32"] == zlib.crc32(r["ids"])
         pieces[(r["doc_id"], r["doc_tokens"])].append((r["start"], ids))
         sequences[r["sequence_id"]].append((r["offset"], r["length"]))
     got = Counter()
