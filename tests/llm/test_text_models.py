@@ -30,17 +30,68 @@ def _labelled(spark, texts):
 def test_language_of_odd_rows(spark, documents, odd_docs):
     model = language_id.train(documents)
     found = language_id.predict(odd_docs, model)
-    assert found.columns == ["lang_pred", "score", "ambiguous", *[c for c in odd_docs.columns if c != "score"]]
+    assert found.columns == ["lang_pred", "score", "ambiguous", "outside", *[c for c in odd_docs.columns if c != "score"]]
     for r in found.collect():
         letters = any(ch.isalpha() for ch in r["text"] or "")
         assert (r["lang_pred"] == "und") == (not letters)
         assert letters or (r["score"] == 0 and not r["ambiguous"])
     kept = language_id.accepted(odd_docs, model)
     assert kept.columns == odd_docs.columns
-    assert kept.count() == sum(any(ch.isalpha() for ch in r["text"] or "") for r in odd_docs.collect())
+    assert kept.count() == sum(any(ch.isalpha() for ch in r["text"] or "") and len(r["text"]) < 24 for r in odd_docs.collect())
     assert language_id.predict(odd_docs.limit(0), model).count() == 0
 
 
+def test_debris_is_outside_and_documents_are_not(spark, documents, make_docs):
+    model = language_id.train(documents)
+    rng = np.random.default_rng(1)
+    debris = [bytes(rng.integers(0, 256, 150, np.uint8)).hex() for _ in range(5)]
+    debris += ["".join(rng.choice(list("ABCDEFGHabcdefgh0123456789+/"), 200)) for _ in range(5)]
+    assert language_id.accepted(make_docs(list(enumerate(debris))), model).isEmpty()
+    letters = documents.filter(r"text rlike '\\p{L}'")
+    assert language_id.accepted(documents, model).count() == letters.count()
+
+
+def test_signs_that_count_as_numbers_are_no_letters(make_docs, documents):
+    found = language_id.predict(make_docs(list(enumerate(["½", "²", "①", "_", "5", "ª", "漢", "Ж"]))), language_id.train(documents))
+    assert [r["lang_pred"] == "und" for r in found.orderBy("doc_id").collect()] == [True] * 5 + [False] * 3
+
+
+def test_copies_of_a_text_are_fitted_once(spark, documents):
+    own = documents.select("text", "lang").filter("lang is not null").limit(50)
+    copies = own.unionByName(own.limit(1).crossJoin(spark.range(500)).drop("id"))
+    assert len(language_id._sample(_sampled(copies), 1000)) == len(language_id._sample(_sampled(own), 1000))
+
+
+def _sampled(df):
+    return df.select(df["lang"].alias("_lang"), df["text"].alias("_text")).filter("_text is not null")
+
+
+def test_scores_are_those_of_a_plain_loop(spark, documents):
+    """Features, outputs, losses and decoding of every document, one number after the other."""
+    model = language_id.train(documents)
+    rows = language_id.predict(documents.select("doc_id", "text"), model).limit(40).collect()
+    for r in rows:
+        data = f" {(r['text'] or '').lower()} ".encode()
+        counts = {}
+        for i in range(len(data) - 2):
+            code = data[i] | data[i + 1] << 8 | data[i + 2] << 16
+            slot = (code * 0x9E3779B1 % 2**32) >> (32 - language_id.FEATURE_BITS)
+            counts[slot] = counts.get(slot, 0) + 1
+        size = sum(counts.values()) ** 0.5
+        distance = []
+        for code, trust in zip(model.code, model.trust):
+            loss = 0.0
+            for bit, (sign, weight) in enumerate(zip(code, trust)):
+                output = float(model.bias[bit]) + sum(n**0.5 / size * float(model.weights[s, bit]) for s, n in counts.items())
+                loss += float(weight) * np.log1p(np.exp(-output * sign))
+            distance.append(loss)
+        if r["lang_pred"] == "und":
+            continue
+        near = [np.exp(-(d - min(distance)) * model.code.shape[1]) for d in distance]
+        assert model.languages[int(np.argmin(distance))] == r["lang_pred"]
+        assert abs(max(near) / sum(near) - r["score"]) < 1e-3
+
+
 def test_no_and_one_learned_language(spark, odd_docs):
     none = language_id.train(_labelled(spark, [("text", None), (None, "en"), ("123", "en")]))
     assert {r["lang_pred"] for r in language_id.predict(odd_docs, none).collect()} == {"und"}
