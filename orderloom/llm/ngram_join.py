@@ -27,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import prepare, read_table, stored, strings, text_of
+from .common import prepare, read_table, slices, stored, strings, text_of, unused_name
 from .components import components
 
 #: Size of the frequency table that tasks get; fixed, whatever the input.
@@ -123,12 +124,18 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of bounded text, since words, shingles and outputs of a part are held at once."""
+    for batch in batches:
+        yield from slices(batch, pc.binary_length(batch["_text"]), _SLICE)
+
+
 def _frequencies(texts: DataFrame, width: int) -> np.ndarray:
     """Document frequency by bucket, over all documents: ``BUCKETS`` numbers."""
 
     def count(batches):
         seen = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in _parts(batches):
             sets = list(shingle_sets(strings(batch["_text"]).to_pylist(), width))
             seen += np.bincount(_bucket(np.concatenate(sets)), minlength=BUCKETS) if sets else 0
         full = np.flatnonzero(seen)
@@ -155,7 +162,7 @@ def _profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
 
     def profile(batches):
         rank = frequency.value
-        for batch in batches:
+        for batch in _parts(batches):
             sets, found = _sets_of(batch, width)
             prefixes = []
             for s in sets:
@@ -181,7 +188,7 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``node, n, tokens`` of the wanted classes, read again from one document of each."""
 
     def read(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             sets, found = _sets_of(batch, width)
             yield pa.record_batch(found | {"tokens": _lists(sets)})
 
@@ -379,10 +386,11 @@ def drop_near_duplicates(
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
     judged = judged.withColumn("copies", F.when(stays, F.col("copies")).otherwise(F.lit(0)))
     marked = stored(judged.filter("copies != 1").select("doc_id", "text_hash", "copies").distinct(), "near-marked")
-    rows = docs.withColumn("_text_hash", F.xxhash64(text_of(text_col))).alias("d")
-    on = F.col(f"d.{id_col}").eqNullSafe(F.col("m.doc_id")) & (F.col("d._text_hash") == F.col("m.text_hash"))
+    helper = unused_name(docs, "_text_hash")
+    rows = docs.withColumn(helper, F.xxhash64(text_of(text_col))).alias("d")
+    on = F.col(f"d.{id_col}").eqNullSafe(F.col("m.doc_id")) & (F.col(f"d.{helper}") == F.col("m.text_hash"))
     clean = rows.join(marked.alias("m"), on, "left_anti")
-    repeated = rows.join(marked.filter("copies > 1").alias("m"), on, "left_semi").dropDuplicates([id_col, "_text_hash"])
+    repeated = rows.join(marked.filter("copies > 1").alias("m"), on, "left_semi").dropDuplicates([id_col, helper])
     return clean.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
