@@ -34,7 +34,7 @@ TRIGGER = 32
 #: Words that two chunks share: one less than the longest phrase has.
 _SHARED = LONGEST - 1
 #: Bytes of text that a task parses at a time, and of distinct chunks that make a block.
-PARSE_BYTES, BLOCK_BYTES = 4 << 20, 8 << 20
+PARSE_BYTES, BLOCK_BYTES = 4 << 20, 4 << 20
 NO_LANGUAGE = "und"
 # A to Z in lower case, the tab as a space and the marks that end a piece as line feeds.
 _TABLE = bytes(0x0A if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 0x09 else c for c in range(256)).lower()
@@ -184,8 +184,9 @@ class Block:
             np.frombuffer(batch[c][row].as_buffer(), kind) for c, kind in _NUMBERS.items()
         )
         self.hash = hashes[self.code]
-        place = np.arange(len(self.code)) - np.repeat(np.cumsum(size) - size, size)
-        self.left = np.where(place < np.repeat(own, size), np.repeat(size, size) - place, 0)  # 0: the next chunk's
+        ends = np.cumsum(size, dtype=np.int32)
+        place = np.arange(len(self.code), dtype=np.int32) - np.repeat(ends - size, size)
+        self.left = np.where(place < np.repeat(own, size), np.repeat(size, size) - place, np.int32(0))  # 0: the next chunk's
         self.times = np.repeat(times, size)
         self.lang = np.repeat(lang, size)
         self._grams = [_mixed(self.hash ^ lang_hashes[self.lang])]
@@ -253,12 +254,12 @@ def _frequent_hashes(blocks: DataFrame, n: int, bits: BitMap | None, min_count:
     return found.groupBy("hash").agg(F.sum("times").alias("f")).filter(F.col("f") >= min_count)
 
 
-def _phrases(blocks: DataFrame, maps: list[BitMap], min_count: int) -> DataFrame:
-    """All frequent phrases: ``lang, phrase, f``."""
-    shared = blocks.sparkSession.sparkContext.broadcast(maps)
+def _phrases(blocks: DataFrame, bits: BitMap, min_count: int) -> DataFrame:
+    """All frequent phrases: ``lang, phrase, f``. One map has the hashes of all lengths."""
+    shared = blocks.sparkSession.sparkContext.broadcast(bits)
     found = _over_blocks(
         blocks.select("words", "langs", *_NUMBERS),
-        lambda block: (_count_phrases(block, n, bits) for n, bits in enumerate(shared.value, 1)),
+        lambda block: (_count_phrases(block, n, shared.value) for n in range(1, LONGEST + 1)),
         "lang string, phrase string, times long",
     )
     return found.groupBy("lang", "phrase").agg(F.sum("times").alias("f")).filter(F.col("f") >= min_count)
@@ -332,7 +333,7 @@ def collocations(
     for n in range(1, LONGEST + 1):
         bits = bit_map(_frequent_hashes(blocks, n, bits, min_count).select("hash"))
         maps.append(bits)
-    phrases, totals = stored(_phrases(blocks, maps, min_count), "phrases"), _totals(blocks)
+    phrases, totals = stored(_phrases(blocks, BitMap.union(maps), min_count), "phrases"), _totals(blocks)
     scored = _scored(phrases, totals).join(_held(phrases), ["lang", "phrase"], "left")
     kept = scored.filter(F.col("longer").isNull() | (F.col("longer") < F.col("a")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

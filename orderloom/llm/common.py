@@ -54,6 +54,10 @@ class BitMap:
     def __init__(self, bits: np.ndarray):
         self._packed, self._bits = zlib.compress(bits.tobytes(), 1), None
 
+    @staticmethod
+    def union(maps: list[BitMap]) -> BitMap:
+        return BitMap(np.bitwise_or.reduce([m.bits for m in maps]))
+
     def __getstate__(self) -> dict:
         return {"_packed": self._packed, "_bits": None}
 
