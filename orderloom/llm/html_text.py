@@ -2,8 +2,10 @@
 
 The builder closes what HTML lets authors leave open (paragraphs, list items, table rows
 and cells, options) and drops end tags without a start. The renderer skips what a browser
-does not show, collapses white space, separates blocks by lines or blank lines, marks and
-indents list items and pads table cells so that columns line up.
+does not show (by element, attribute or style attribute; style sheets are not evaluated, and
+of closed details the summary shows), collapses white space, separates blocks by lines or
+blank lines, marks and indents list items and pads table cells so that columns line up. Cells
+keep their blocks and lists as lines, and reach over as many columns and rows as they say.
 
 Pages are independent rows, read in Arrow batches; nothing is shuffled. The walk keeps its
 own stack, so deep nesting cannot exhaust Python's.
@@ -12,12 +14,16 @@ own stack, so deep nesting cannot exhaust Python's.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterable
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import prepare, read_table, strings
+from .common import prepare, read_table, strings, unused_name
 
 # Fixed values of HTML: element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -27,6 +33,9 @@ BLOCK = SPACED | set(
     "html body div section article aside nav header footer main address form li dt dd tr caption details summary figcaption "
     "thead tbody tfoot option optgroup select textarea legend center".split()
 )
+#: Start tags that may stand in a head, and end tags that close what a cell stands in.
+NOT_CONTENT = UNSEEN | {"html", "body", "meta", "link", "base"}
+OUT_OF_CELLS = {"tr", "table", "thead", "tbody", "tfoot", "body", "html"}
 #: A start tag ends open elements of the first set, looking up to an element of the second.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -44,9 +53,10 @@ CLOSES = {
 }
 #: An open paragraph ends where a block begins, unless one of these lies in between.
 HOLDS_P = {"td", "th", "caption", "button", "table", "li", "dd", "dt", "div", "section", "article", "blockquote"}
-DEEPEST = 400
-#: Cells wider than this are not padded to.
-WIDEST_CELL = 60
+#: A table with a longer line in a cell lays out the page, not data: its cells follow each other as blocks.
+DATA_LINE = 200
+#: Greatest spans of a cell in the HTML standard (fixed values).
+COLUMNS, ROWS = 1000, 65534
 
 _SPACES = re.compile(r"[ \t\n\r\f\v]+")
 _HIDDEN_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
@@ -67,34 +77,43 @@ class Node:
 
 
 class TreeBuilder(HTMLParser):
-    """Tree of a page; never fails on malformed markup."""
+    """Tree of a page; never fails on malformed markup, however deep."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("root", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = defaultdict(list)  # of the open elements, by tag
+
+    def _last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element with one of the tags; -1 for none."""
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=-1)
+
+    def _end(self, place: int) -> None:
+        for node in self.open[place:]:
+            self.places[node.tag].pop()
+        del self.open[place:]
 
     def _close(self, tags: set[str], until: set[str]) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in until:
-                return
-            if self.open[k].tag in tags:
-                # The outermost one of the run is ended, with all it holds.
-                while k > 1 and self.open[k - 1].tag in tags:
-                    k -= 1
-                del self.open[k:]
-                return
+        k = self._last(tags)
+        if k < 0 or k < self._last(until - tags):
+            return
+        # The outermost one of the run is ended, with all it holds.
+        while k > 1 and self.open[k - 1].tag in tags:
+            k -= 1
+        self._end(k)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self._close({"p"}, HOLDS_P)
         if tag in CLOSES:
             self._close(*CLOSES[tag])
-        if tag not in UNSEEN | {"html", "body", "meta", "link", "base"}:
+        if tag not in NOT_CONTENT:
             self._close({"head"}, {"template"})  # content ends an open head
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < DEEPEST:
+        if tag not in VOID:
+            self.places[tag].append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
@@ -103,12 +122,10 @@ class TreeBuilder(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.handle_starttag("br", [])
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                return
-            if self.open[k].tag in ("td", "th", "table") and tag not in ("tr", "table", "thead", "tbody", "tfoot", "body", "html"):
-                return  # an end tag does not reach out of a cell
+        place = self._last((tag,))
+        # An end tag does not reach out of a cell.
+        if place > 0 and (tag in OUT_OF_CELLS or place >= self._last(("td", "th", "table"))):
+            self._end(place)
 
     def handle_data(self, data):
         self.open[-1].children.append(data)
@@ -119,26 +136,34 @@ class Lines:
 
     def __init__(self):
         self.done: list[str] = []
-        self.line = ""
+        self.parts: list[str] = []  # of the line that is being filled
         self.space = False
         self.blank = False
 
     def text(self, data: str) -> None:
-        parts = _SPACES.split(data)
-        for k, part in enumerate(parts):
+        for k, part in enumerate(_SPACES.split(data)):
             if k:
                 self.space = True
             if part:
-                self.line += (" " if self.space and self.line else "") + part
+                if self.space and self.parts:
+                    self.parts.append(" ")
+                self.parts.append(part)
                 self.space = False
 
+    def verbatim(self, data: str) -> None:
+        first, *others = data.expandtabs(4).split("\n")
+        self.parts += [first] if first else []
+        for line in others:
+            self.end_line(keep_empty=True)
+            self.parts = [line] if line else []
+
     def end_line(self, keep_empty: bool = False) -> None:
-        if self.line or keep_empty:
+        if self.parts or keep_empty:
             if self.blank and self.done:
                 self.done.append("")
-            self.done.append(self.line)
+            self.done.append("".join(self.parts))
             self.blank = False
-        self.line, self.space = "", False
+        self.parts, self.space = [], False
 
     def gap(self) -> None:
         self.end_line()
@@ -148,7 +173,7 @@ class Lines:
         """Finished lines with a mark before the first and an indent before the others."""
         self.end_line()
         for k, line in enumerate(lines):
-            self.line = (first if k == 0 else rest if line else "") + line
+            self.parts = [(first if k == 0 else rest if line else "") + line]
             self.end_line(keep_empty=True)
 
     def finished(self) -> list[str]:
@@ -156,45 +181,90 @@ class Lines:
         return self.done
 
 
-def _table(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of (cell text, columns spanned) with columns lined up."""
-    widths: dict[int, int] = {}
-    for row in rows:
-        at = 0
-        for text, span in row:
-            if span == 1 and len(text) <= WIDEST_CELL:
-                widths[at] = max(widths.get(at, 0), len(text))
-            at += span
-    lines = []
-    for row in rows:
-        at, line = 0, []
-        for text, span in row:
-            width = sum(widths.get(k, 0) for k in range(at, at + span)) + 3 * (span - 1)
-            line.append(text.ljust(width))
-            at += span
-        lines.append(" | ".join(line).rstrip())
-    return lines
+@dataclass
+class Cell:
+    lines: list[str]
+    columns: int
+    rows: int
 
 
-def _span(node: Node) -> int:
-    value = node.attrs.get("colspan") or "1"
-    return min(max(int(value), 1), 100) if value.isdecimal() and len(value) < 6 else 1
+def _placed(rows: list[list[Cell]]) -> list[list[tuple[int, Cell]]]:
+    """First column of every cell; columns that a cell above reaches down into are passed over."""
+    taken: dict[int, int] = {}  # rows that a column is still taken for
+    found = []
+    for row in rows:
+        at, own = 0, []
+        for cell in row:
+            while taken.get(at):
+                at += 1
+            own.append((at, cell))
+            for k in range(at, at + cell.columns):
+                taken[k] = max(taken.get(k, 0), cell.rows)
+            at += cell.columns
+        found.append(own)
+        taken = {k: n - 1 for k, n in taken.items() if n > 1}
+    return found
+
+
+def _table(rows: list[list[Cell]]) -> list[str]:
+    """Rows of cells with columns lined up; a cell of several lines makes its row as high."""
+    if any(len(line) > DATA_LINE for row in rows for cell in row for line in cell.lines):
+        blocks = [cell.lines for row in rows for cell in row if cell.lines]
+        return [line for k, lines in enumerate(blocks) for line in ([""] if k else []) + lines]
+    placed = _placed(rows)
+    widths: dict[int, int] = defaultdict(int)
+    for row in placed:
+        for at, cell in row:
+            if cell.columns == 1:
+                widths[at] = max(widths[at], max(map(len, cell.lines), default=0))
+            else:
+                widths[at] += 0
+    used = sorted(widths)
+    found = []
+    for row in placed:
+        height = max([1, *(len(cell.lines) for _, cell in row)])
+        for y in range(height):
+            parts, end = [], 0
+            for at, cell in row:
+                parts += [" " * widths[k] for k in used[bisect_left(used, end) : bisect_left(used, at)]]
+                end = at + cell.columns
+                own = [widths[k] for k in used[bisect_left(used, at) : bisect_left(used, end)]]
+                parts.append((cell.lines[y] if y < len(cell.lines) else "").ljust(sum(own) + 3 * (len(own) - 1)))
+            found.append(" | ".join(parts).rstrip())
+    return found
+
+
+def _span(node: Node, name: str, most: int) -> int:
+    value = node.attrs.get(name) or "1"
+    return min(max(int(value), 1), most) if value.isdecimal() and len(value) < 9 else 1
 
 
 class _Frame:
-    """An element on the walk's stack."""
+    """An element on the walk's stack, with what it stands in."""
 
-    def __init__(self, node: Node, out: Lines, verbatim: bool):
+    def __init__(self, node: Node, out: Lines, verbatim: bool, above: _Frame | None = None):
         self.node, self.out, self.verbatim, self.next = node, out, verbatim, 0
         self.count = 0  # items of a list so far
-        self.rows: list[list[tuple[str, int]]] = []  # of a table
+        self.rows: list[list[Cell]] = []  # of a table
+        self.items = (above.items if above else 0) + (node.tag == "li")
+        self.table = self if node.tag == "table" else above.table if above else None
+        self.group = self if node.tag in ("ul", "ol", "menu") else above.group if above else None
+
+    def spaced(self) -> bool:
+        """Whether blank lines go around the element; a list in a list has none."""
+        return self.node.tag in SPACED and not (self.node.tag in ("ul", "ol") and self.items)
+
+    def shows(self, child: Node | str) -> bool:
+        if self.node.tag == "details" and "open" not in self.node.attrs:
+            return isinstance(child, Node) and child.tag == "summary" and not child.hidden()
+        return not isinstance(child, Node) or not child.hidden()
 
 
 def _enter(stack: list[_Frame], node: Node) -> None:
     top = stack[-1]
     out, verbatim = top.out, top.verbatim
     if node.tag == "br":
-        out.end_line(keep_empty=bool(out.done or out.line))
+        out.end_line(keep_empty=bool(out.done or out.parts))
         return
     if node.tag == "hr":
         out.gap()
@@ -205,24 +275,23 @@ def _enter(stack: list[_Frame], node: Node) -> None:
         if (node.attrs.get("type") or "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url"):
             out.text(f" {node.attrs.get('value') or ''} ")
         return
-    if node.tag in SPACED and not (node.tag in ("ul", "ol") and any(f.node.tag == "li" for f in stack)):
+    # What needs a mark, an indent or padding is laid out by itself first.
+    apart = node.tag in ("li", "dd", "blockquote", "td", "th", "pre", "textarea")
+    frame = _Frame(node, Lines() if apart else out, verbatim or node.tag in ("pre", "textarea"), top)
+    if frame.spaced():
         out.gap()
     elif node.tag in BLOCK:
         out.end_line()
-    # What needs a mark, an indent or padding is laid out by itself first.
-    apart = node.tag in ("li", "dd", "blockquote", "td", "th", "pre", "textarea")
-    stack.append(_Frame(node, Lines() if apart else out, verbatim or node.tag in ("pre", "textarea")))
-    if node.tag == "tr":
-        table = next((f for f in reversed(stack) if f.node.tag == "table"), None)
-        if table:
-            table.rows.append([])
+    stack.append(frame)
+    if node.tag == "tr" and frame.table:
+        frame.table.rows.append([])
 
 
 def _leave(stack: list[_Frame]) -> None:
     frame = stack.pop()
     node, out = frame.node, stack[-1].out
     if node.tag == "li":
-        group = next((f for f in reversed(stack) if f.node.tag in ("ul", "ol", "menu")), None)
+        group = frame.group
         mark = "- "
         if group:
             group.count += 1
@@ -237,15 +306,15 @@ def _leave(stack: list[_Frame]) -> None:
     elif node.tag in ("pre", "textarea"):
         out.add(frame.out.finished())
     elif node.tag in ("td", "th"):
-        table = next((f for f in reversed(stack) if f.node.tag == "table"), None)
-        cell = " ".join(line.strip() for line in frame.out.finished() if line.strip())
-        if table and table.rows:
-            table.rows[-1].append((cell, _span(node)))
+        lines = frame.out.finished()
+        if frame.table and frame.table.rows:
+            cell = Cell(lines, _span(node, "colspan", COLUMNS), _span(node, "rowspan", ROWS))
+            frame.table.rows[-1].append(cell)
         else:
-            out.text(f" {cell} ")
+            out.text(f" {' '.join(lines)} ")
     elif node.tag == "table":
         out.add(_table([r for r in frame.rows if r]))
-    if node.tag in SPACED and not (node.tag in ("ul", "ol") and any(f.node.tag == "li" for f in stack)):
+    if frame.spaced():
         out.gap()
     elif node.tag in BLOCK:
         out.end_line()
@@ -267,15 +336,12 @@ def visible_text(html: str) -> str:
             continue
         child = frame.node.children[frame.next]
         frame.next += 1
+        if not frame.shows(child):
+            continue
         if isinstance(child, Node):
-            if not child.hidden():
-                _enter(stack, child)
+            _enter(stack, child)
         elif frame.verbatim:
-            first, *others = child.expandtabs(4).split("\n")
-            frame.out.line += first
-            for line in others:
-                frame.out.end_line(keep_empty=True)
-                frame.out.line = line
+            frame.out.verbatim(child)
         elif frame.node.tag not in ("table", "tr", "thead", "tbody", "tfoot") or child.strip():
             frame.out.text(child)
     return "\n".join(lines.finished())
@@ -290,13 +356,14 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """
     prepare(pages.sparkSession)
     own = [c for c in pages.columns if c not in (html_col, "text")]
-    rows = pages.select(F.col(html_col).alias("_html_of_row"), *[F.col(f"`{c}`") for c in own])
+    helper = unused_name(pages, "_html")
+    rows = pages.select(F.col(html_col).alias(helper), *[F.col(f"`{c}`") for c in own])
 
     def render(batches):
         for batch in batches:
-            html = batch["_html_of_row"]
+            html = batch[helper]
             texts = [visible_text(h) if known else None for h, known in zip(strings(html).to_pylist(), html.is_valid().to_pylist())]
-            columns = {"text": pa.array(texts, pa.string())} | {c: batch[c] for c in batch.schema.names if c != "_html_of_row"}
+            columns = {"text": pa.array(texts, pa.string())} | {c: batch[c] for c in batch.schema.names if c != helper}
             yield pa.record_batch(columns)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
