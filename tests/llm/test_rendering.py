@@ -1,6 +1,9 @@
 """HTML extraction, licence rules and chat formatting."""
 
 import os
+import random
+import re
+import time
 
 import duckdb
 import pytest
@@ -28,7 +31,7 @@ def test_statements(spark, duck, name):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 # ------------------------------------------------------------------------------- HTML
@@ -43,7 +46,13 @@ def test_every_operator_has_a_query():
         ("a<br>b<br><br>c", "a\nb\n\nc"),
         ("<ul><li>x<li>y<ol start=4><li>z<li>w</ol></ul>after", "- x\n- y\n  4. z\n  5. w\n\nafter"),
         ("<table><tr><th>n<th>name<tr><td>1<td>long name<td>x<tr><td colspan=2>both<td>y</table>", "n | name\n1 | long name | x\nboth          | y"),
-        ("<table><tr><td><p>a</p><p>b</p></td><td>c</table>", "a b | c"),
+        ("<table><tr><td><p>a</p><p>b</p></td><td>c</table>", "a | c\n  |\nb |"),
+        ("<table><tr><td>one<ul><li>x<li>y</ul></td><td>B<tr><td>q<td>r</table>", "one | B\n    |\n- x |\n- y |\nq   | r"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><tr><td colspan=2 rowspan=2>wide<td>b<tr><td>c<tr><td>1<td>2<td>3</table>", "wide  | b\n  |   | c\n1 | 2 | 3"),
+        ("<table><tr><td>k<td>" + "w" * 90 + "<td>z<tr><td>m<td>n<td>o</table>", "k | " + "w" * 90 + " | z\nm | n" + " " * 89 + " | o"),
+        ("<table><tr><td>menu<td><p>" + "long " * 50 + "<p>second<tr><td>foot</table>", "menu\n\n" + ("long " * 50).strip() + "\n\nsecond\n\nfoot"),
+        ("<details><summary>s</summary>in</details><details open><summary>t</summary>shown</details>", "s\nt\nshown"),
         ("<head><title>t</title><style>s</style></head><body>v<script>s</script><template>t</template>", "v"),
         ("<p hidden>a</p><p style='color:red; DISPLAY : none'>b</p><p style='visibility:hidden'>c</p>d<!-- e -->", "d"),
         ("<pre>a  b\n\n   c</pre>d", "a  b\n\n   c\n\nd"),
@@ -61,17 +70,61 @@ def test_visible_text(html, text):
 
 
 def test_deep_and_broken_markup():
-    assert html_text.visible_text("<div>" * 3000 + "x") == "x"
+    assert html_text.visible_text("<div>" * 100_000 + "x") == "x"
     assert html_text.visible_text("<ul><li>" * 600 + "x").endswith("x")
+    deep = "<div>" * 450 + "<script>SECRET</script><p hidden>HID</p>vis" + "</div>" * 450 + "after"
+    assert html_text.visible_text(deep) == "vis\nafter"
+    assert html_text.visible_text("<b>" * 50_000 + "<hr>" * 50_000 + "</i>" * 50_000).count("-" * 8) == 50_000
     for broken in ("<", "<<<>>>", "<p", "<!--", "<![CDATA[x", "</", "<a href='", "&#xFFFFFFFF;", "<table><td>x"):
         html_text.visible_text(broken)
 
 
+def test_long_paragraphs_take_time_in_proportion():
+    html = "<p>" + "some <b>words</b> and &amp; more " * 100_000
+    start = time.perf_counter()
+    assert html_text.visible_text(html) == ("some words and & more " * 100_000).strip()
+    assert time.perf_counter() - start < 20
+
+
+def _random_page(rng, depth=0):
+    """Markup of a random tree, with the words that are seen and the mark of a table in it."""
+    if depth > 5 or rng.random() < 0.3:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(1, 3))]
+        return rng.choice(["", " "]).join([" ", " ".join(words), " "]), words, False
+    parts = [_random_page(rng, depth + 1) for _ in range(rng.randint(1, 3))]
+    kind = rng.choice(["div", "span", "p-div", "li", "b", "blockquote", "script", "hidden", "style", "details", "table", "section", "dl"])
+    html, words = "".join(p[0] for p in parts), [w for p in parts for w in p[1]]
+    table = any(p[2] for p in parts)
+    if kind in ("script", "hidden", "style"):
+        inner = "".join(w + " " for w in words)
+        shown = {"script": f"<script>{inner}</script>", "hidden": f"<div hidden>{html}</div>", "style": f"<span style='display: none'>{html}</span>"}
+        return shown[kind], [], table
+    if kind == "details":
+        return f"<details>{'' if rng.random() < 0.5 else '<i>'}<summary>s{len(words)}</summary>{html}</details>".replace("<i>", ""), [f"s{len(words)}"], table
+    if kind == "li":
+        return "<ul>" + "".join(f"<li>{p[0]}</li>" for p in parts) + "</ul>", words, table
+    if kind == "dl":
+        return "<dl>" + "".join(f"<dt>{p[0]}</dt>" for p in parts) + "</dl>", words, table
+    if kind == "table":
+        return "<table><tr>" + "".join(f"<td rowspan={rng.randint(1, 3)}>{p[0]}</td>" for p in parts) + "</tr></table>", words, True
+    tag = "div" if kind == "p-div" else kind
+    return f"<{tag}>{html}</{tag}>", words, table
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_random_trees_show_all_visible_words_and_no_other(seed):
+    rng = random.Random(seed)
+    html, words, table = _random_page(rng)
+    shown = re.findall(r"\b[ws][0-9]+", html_text.visible_text(f"<html><body>{html}</body></html>"))
+    # Cells of a row stand beside each other, so only the set of words is known there.
+    assert sorted(shown) == sorted(words) if table else shown == words
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, None), (3, "v", ""), (None, "w", "<br>" * 1000 + "é")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'clash' as text", "1 as n")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'clash' as text", "1 as n", "2 as _html")
     found = html_text.extract(pages)
-    assert found.columns == ["page_id", "url", "n", "text"]
+    assert found.columns == ["page_id", "url", "n", "_html", "text"]
     assert sorted((str(r["page_id"]), r["text"]) for r in found.collect() if r["text"] is not None) == [("1", "a"), ("1", "a"), ("3", ""), ("None", "é")]
     assert found.filter("text is null").count() == 1
     assert html_text.extract(pages.limit(0)).count() == 0
@@ -134,7 +187,7 @@ def test_licences_with_their_own_punctuation(make_docs):
     rows = [(name, text) for name, several in texts.items() for text in several]
     found = licences.recognise(make_docs([(i, t) for i, (_, t) in enumerate(rows)])).collect()
     assert {r["doc_id"]: r["licences"] for r in found} == {i: name for i, (name, _) in enumerate(rows)}
-    assert {r["doc_id"]: r["n_sentences"] for r in found} == {0: 4, 1: 2, 2: 5, 3: 3, 4: 2}
+    assert {r["doc_id"]: r["n_sentences"] for r in found} == {0: 4, 1: 2, 2: 5, 3: 3, 4: 3}
 
 
 def test_normalised_sentences_are_what_they_should_be():
@@ -143,7 +196,50 @@ def test_normalised_sentences_are_what_they_should_be():
     for texts in licences.SENTENCES.values():
         for text in texts:
             assert re.sub(r"[\W_]+", " ", text.lower()).strip() == text
-    assert {s for _, rule in licences.RULES for s in rule} == set(licences.SENTENCES)
+    used = {s for _, rule in licences.RULES for s in rule} | {s for ways in licences.FORMS.values() for way in ways for s in way}
+    assert used == set(licences.SENTENCES)
+
+
+_ISC = (
+    "Copyright (c) 2021 Some One\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
+    'provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS '
+    "ALL WARRANTIES WITH\nREGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY\nAND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.\n"
+)
+_LESSER = (
+    "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the "
+    "Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n\nThis library is distributed in the hope that it "
+    "will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.\n"
+)
+_AFFERO = (
+    "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as\npublished by the "
+    "Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version.\n"
+)
+_MOZILLA = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile.\n"
+_BSD = (
+    "Copyright (c) 2019, Some One\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted "
+    "provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\nlist of conditions and "
+    "the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\nthis list of conditions and the following "
+    "disclaimer in the documentation\nand/or other materials provided with the distribution.\n"
+)
+_OWN = [("ISC", _ISC), ("LGPL-2.1-or-later", _LESSER), ("AGPL-3.0-or-later", _AFFERO), ("MPL-2.0", _MOZILLA), ("BSD-2-Clause", _BSD)]
+_OWN += [("GPL-2.0-or-later", _AFFERO.replace("Affero ", "").replace("version 3", "version 2"))]
+_OWN += [(name, f"SPDX-License-Identifier: {name}\n") for name in licences.TAGS]
+_OWN += [("All-Rights-Reserved", "All rights reserved.\n"), ("All-Rights-Reserved", "Copyright 2020 Some Body, all rights reserved\n")]
+
+
+@pytest.mark.parametrize("style", ["plain", "stars", "hashes", "slashes"])
+def test_licences_in_comments(make_docs, style):
+    """Every notice on its original text, plain and as the head of a source file."""
+
+    def dressed(text):
+        lines = text.rstrip("\n").split("\n")
+        if style == "stars":
+            return "/*\n" + "".join(f" * {x}".rstrip() + "\n" for x in lines) + " */\nint main;\n"
+        mark = {"plain": "", "hashes": "# ", "slashes": "// "}[style]
+        return "".join((mark + x).rstrip() + "\n" for x in lines) + "\nx = 1\n"
+
+    found = licences.recognise(make_docs([(i, dressed(t)) for i, (_, t) in enumerate(_OWN)])).collect()
+    assert {r["doc_id"]: r["licences"] for r in found} == {i: name for i, (name, _) in enumerate(_OWN)}
 
 
 # ------------------------------------------------------------------------------- chat
