@@ -29,6 +29,10 @@ RATE = 0.08
 BLOCK_CHARS = 2_000_000
 _SLICE = 1 << 20
 _TABLE_BITS = 20
+#: Shared q-grams that are looked at together; beyond that, repetition is left out and a text is halved.
+HITS_AT_ONCE = 2_000_000
+#: Periods of repeated text, such as rules of dashes or dots, that are noticed.
+PERIODS = range(1, 9)
 
 
 def _case_table() -> np.ndarray:
@@ -81,6 +85,10 @@ def banded_distance(windows: np.ndarray, text: np.ndarray, starts: np.ndarray, s
     return cost[np.arange(len(cost)), last], starts + windows.shape[1] + span[last]
 
 
+class _TooMany(Exception):
+    """A stretch of text has more shared q-grams than are looked at together."""
+
+
 @dataclass
 class _Item:
     codes: np.ndarray
@@ -120,6 +128,23 @@ class Searcher:
         self.needed = np.array([i.needed for i in self.items], np.int64)
         self.spread = np.array([i.window + i.edits - q for i in self.items], np.int64)
 
+    def _repeated(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions deep inside a periodic stretch.
+
+        All that can align near them aligns alike near the stretch's begin, a whole number of
+        periods before, so they tell nothing new.
+        """
+        deep = np.zeros(len(hashes), bool)
+        margin = 2 * self.reach
+        for period in PERIODS:
+            alike = np.zeros(len(hashes) + 1, np.int8)
+            alike[period:-1] = hashes[period:] == hashes[:-period]
+            edges = np.diff(alike, prepend=0)
+            for low, high in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)):
+                if high - low > 2 * margin:
+                    deep[low + margin : high - margin] = True
+        return deep
+
     def _hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text position, item and item position of every shared q-gram."""
         hashes = qgram_hashes(codes, self.q)
@@ -129,6 +154,11 @@ class Searcher:
         same = self.grams[gram] == hashes[at]
         at, gram = at[same], gram[same]
         uses = self.uses[gram]
+        if uses.sum() > HITS_AT_ONCE:
+            told = ~self._repeated(hashes)[at]
+            at, gram, uses = at[told], gram[told], uses[told]
+            if uses.sum() > HITS_AT_ONCE and len(codes) > 8 * self.reach:
+                raise _TooMany
         nth = np.arange(uses.sum()) - np.repeat(np.cumsum(uses) - uses, uses)
         entry = np.repeat(self.first[gram], uses) + nth
         return np.repeat(at, uses), self.owner[entry], self.place[entry]
@@ -192,13 +222,20 @@ class Searcher:
         if not len(self.grams):
             return found
         codes, origin = normalised(text)
-        for start in range(0, max(1, len(codes)), _SLICE):
-            part = codes[start : start + _SLICE + 2 * self.reach]
+        stretches = [(start, start + _SLICE) for start in range(0, max(1, len(codes)), _SLICE)][::-1]
+        while stretches:
+            start, end = stretches.pop()
+            part = codes[start : end + 2 * self.reach]
             if len(part) < self.q:
                 continue
             by_item: dict[int, list[tuple[int, int]]] = {}
-            for item, at, place in self._places(part):
-                by_item.setdefault(item, []).append((at, place))
+            try:
+                for item, at, place in self._places(part):
+                    by_item.setdefault(item, []).append((at, place))
+            except _TooMany:
+                middle = start + len(part) // 2
+                stretches += [(middle, end), (start, middle)]
+                continue
             for item, places in by_item.items():
                 if item not in found and (hit := self._verified(self.items[item], part, places)):
                     edits, low, high = hit

@@ -186,3 +186,29 @@ def test_patience_blocks():
     assert line_dedup.patience_blocks(a, b) == [(0, 1, 3), (4, 5, 4)]
     assert line_dedup.patience_blocks(np.array([1, 2]), np.array([2, 1])) == [(0, 1, 1), (1, 0, 1)]
     assert line_dedup.patience_blocks(np.array([5, 5]), np.array([5, 5, 5])) == [(0, 0, 2)]
+
+
+def test_rules_of_dashes_and_dots_are_searched_in_bounded_memory():
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    searcher = decontamination.Searcher(["-" * 300, ". " * 150, words])
+
+    def text(n):
+        return "begin " + "-" * n + " middle " + ". " * n + words + " -=" * n
+
+    short, long = searcher.matches(text(2000)), searcher.matches(text(200_000))
+    assert set(short) == set(long) == {0, 1, 2}
+    assert short[0] == long[0] and [short[k][0] for k in (0, 1, 2)] == [long[k][0] for k in (0, 1, 2)] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_few_hits_at_once_find_the_same_items(monkeypatch, seed):
+    rng = random.Random(seed)
+    parts = ["-" * 200, "ab" * 120, "abc " * 60, "the quick brown fox jumps over the lazy dog and runs far away from here " * 2]
+    searcher = decontamination.Searcher(["".join(rng.sample(parts, 2))[:150] for _ in range(4)], window=40)
+    text = "".join(rng.choice([*parts, "something else in between ", "x"]) * rng.randint(1, 20) for _ in range(30))
+    edited = list(text)
+    for i in rng.sample(range(len(edited)), len(edited) // 40):
+        edited[i] = rng.choice("abxyz")
+    wanted = {k: v[0] == 0 for k, v in searcher.matches("".join(edited)).items()}
+    monkeypatch.setattr(decontamination, "HITS_AT_ONCE", 500)
+    assert {k: v[0] == 0 for k, v in searcher.matches("".join(edited)).items()} == wanted
