@@ -55,11 +55,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each one's rows stored before the next reads them."""
+    """All stages over ``documents``, each one's rows stored before the next reads them.
+
+    What a stage stored for itself is removed when its rows are written, and those rows when
+    the next stage's are.
+    """
     docs = common.read_table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         path = session.scratch_path(spark, f"pipeline-{name}")
-        rows = stage(spark, docs, sf_dir)
-        rows.write.parquet(path)
+        with session.scratch_scope(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
         docs = spark.read.schema(rows.schema).parquet(path)
+        if before:
+            session.remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import prepare, read_table, stored, text_of
+from .common import prepare, read_table, stored, text_of, unused_name
 
 BLOCK_CHARS = 1024
 HOT_SHARE = 4096
@@ -142,11 +142,12 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.max("kept").alias("_kept"), F.count("*").alias("_copies")
     )
     kept = stored(kept, "kept")
-    rows = docs.withColumn("_sha_row", _sha(text_of(text_col)))
-    on = F.col(f"_d.{id_col}").eqNullSafe(F.col("_k._id")) & (F.col("_d._sha_row") == F.col("_k._sha"))
+    helper = unused_name(docs, "_sha_row")
+    rows = docs.withColumn(helper, _sha(text_of(text_col)))
+    on = F.col(f"_d.{id_col}").eqNullSafe(F.col("_k._id")) & (F.col(f"_d.{helper}") == F.col("_k._sha"))
     single = rows.alias("_d").join(kept.filter("not _kept or _copies > 1").alias("_k"), on, "left_anti")
     repeated = (
-        rows.alias("_d").join(kept.filter("_kept and _copies > 1").alias("_k"), on, "left_semi").dropDuplicates([id_col, "_sha_row"])
+        rows.alias("_d").join(kept.filter("_kept and _copies > 1").alias("_k"), on, "left_semi").dropDuplicates([id_col, helper])
     )
     return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .. import session
 from .common import prepare, read_table, slices, stored, strings, text_of, unused_name
 from .components import components
 
@@ -302,16 +303,20 @@ class _Join:
         return _possible(pairs.filter(_may_reach(self.percent) & (F.col("labela") != F.col("labelb"))), self.percent)
 
     def linked(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Labels after a round over the given candidate pairs."""
-        pairs = stored(self.fitting(pairs, labels), "pairs")
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = self.classes.select("node", "n", "d1", "d2", "_id", "_text_hash").join(ends, "node")
-        wanted = stored(wanted, "wanted")
-        if wanted.isEmpty():
-            return labels
-        sets = stored(_full_sets(self.texts, wanted, self.width), "sets")
-        edges = stored(_verified(pairs, sets, self.percent), "links")
-        return stored(_relabelled(labels, edges), "labels")
+        """Labels after a round over the given candidate pairs. The round's own tables go with it."""
+        spark = labels.sparkSession
+        path = session.scratch_path(spark, "labels")
+        with session.scratch_scope(spark):
+            pairs = stored(self.fitting(pairs, labels), "pairs")
+            ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            wanted = self.classes.select("node", "n", "d1", "d2", "_id", "_text_hash").join(ends, "node")
+            wanted = stored(wanted, "wanted")
+            if wanted.isEmpty():
+                return labels
+            sets = stored(_full_sets(self.texts, wanted, self.width), "sets")
+            edges = stored(_verified(pairs, sets, self.percent), "links")
+            _relabelled(labels, edges).write.parquet(path)
+        return spark.read.schema(labels.schema).parquet(path)
 
     def remaining(self, labels: DataFrame) -> DataFrame:
         """All pairs in different components whose first common shingle of the prefixes leaves room for enough others.

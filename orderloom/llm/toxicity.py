@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import chunk_of, prepare, read_table, strings, text_of
+from .common import chunk_of, prepare, read_table, strings, text_of, unused_name
 from .gated_network import Network, Vocabulary, scores, train_epochs
 
 #: Bounds of the training sample: labelled documents of either class, and windows of each.
@@ -165,14 +165,15 @@ def score(docs: DataFrame, network: Network, text_col: str = "text", threshold:
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(network)
     own = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(F.col(text_col).alias("_text_of_row"), *[F.col(f"`{c}`") for c in own])
+    helper = unused_name(docs, "_text")
+    rows = docs.select(F.col(text_col).alias(helper), *[F.col(f"`{c}`") for c in own])
 
     def judge(batches):
         for batch in batches:
-            texts = strings(batch["_text_of_row"]).to_pylist()
+            texts = strings(batch[helper]).to_pylist()
             found = _probabilities(shared.value, texts)
             columns = {"score": pa.array(found), "predicted": pa.array((found >= threshold).astype(np.int32))}
-            yield pa.record_batch(columns | {c: batch[c] for c in batch.schema.names if c != "_text_of_row"})
+            yield pa.record_batch(columns | {c: batch[c] for c in batch.schema.names if c != helper})
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return rows.mapInArrow(judge, f"score double, predicted int{', ' + kinds if kinds else ''}")

@@ -17,6 +17,7 @@ def make_docs(spark):
     def make(rows, columns=("doc_id", "text")):
         df = spark.createDataFrame(rows, "doc_id long, text string")
         extra = {"score": 1, "label": 2, "node": 3, "n": 4, "length": 5, "kept": True, "_id": 6, "_text": "t", "_hash": 7, "start": 8}
+        extra |= {"_text_hash": "u", "_sha_row": "v", "_prediction": "w", "_html": "x"}
         return df.withColumns({k: F.lit(v) for k, v in extra.items()}).withColumns(
             {"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.length("text").cast("long")}
         )

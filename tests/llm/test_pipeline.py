@@ -70,3 +70,25 @@ def test_packing_stage(stages):
     before, packed = stages[4]
     texts = _rows(before)
     assert _check(packed.collect(), texts, 1024) == Counter((d, tuple([*_whole(t), END_ID])) for d, t in texts)
+
+
+def _tables(spark, folder, documents, benchmark):
+    documents.write.parquet(f"{folder}/documents.parquet")
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_run_is_all_stages_one_after_the_other(spark, stages, tmp_path):
+    benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    packed = corpus_pipeline.run(spark, _tables(spark, tmp_path / "sf", stages[0][0], benchmark)).collect()
+    pieces = lambda rows: Counter((r["doc_id"], r["start"], r["ids_crc32"], r["doc_tokens"]) for r in rows)
+    assert pieces(packed) == pieces(stages[4][1].collect())
+
+
+def test_empty_tables(spark, documents, tmp_path):
+    benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    nothing = _tables(spark, tmp_path / "a", documents.limit(0), benchmark)
+    assert corpus_pipeline.run(spark, nothing).collect() == []
+    no_items = _tables(spark, tmp_path / "b", documents.limit(30), benchmark.limit(0))
+    kept = {r["doc_id"] for r in corpus_pipeline.run(spark, no_items).collect()}
+    assert kept and kept <= {r["doc_id"] for r in documents.limit(30).collect()}
