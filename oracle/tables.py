@@ -266,6 +266,20 @@ select *, cast((row_number() over (partition by is_delayed order by
   order_purchase_ts, customer_state nulls first, delivery_days nulls first) - 1) % 5 as bigint) as fold
 from delay_train"""
 
+VIEWS["levels"] = """
+-- categories by falling frequency, then by name; those of a column stand behind those of the columns before
+with said as (
+  select 1 as nth, coalesce(customer_state, '__nan__') as level from delay_train
+  union all select 2, coalesce(seller_state, '__nan__') from delay_train
+  union all select 3, coalesce(payment_type, '__nan__') from delay_train
+)
+select nth, level, row_number() over (order by nth, count(*) desc, level) - 1 as place from said group by nth, level"""
+
+VIEWS["level_places"] = """
+select order_id, place from delay_train join levels on nth = 1 and level = coalesce(customer_state, '__nan__')
+union all select order_id, place from delay_train join levels on nth = 2 and level = coalesce(seller_state, '__nan__')
+union all select order_id, place from delay_train join levels on nth = 3 and level = coalesce(payment_type, '__nan__')"""
+
 VIEWS["risk"] = """
 select order_id, order_purchase_ts, customer_state, seller_state, payment_type,
   cast(cast(order_id as bigint) * 7 % 101 as double) / 100 as delay_risk_score from delay_scoring"""
@@ -312,18 +326,18 @@ def psi_views(name: str, values: str) -> None:
 
 psi_views(
     "pay",
-    """select cast(payment_value as double) as v, order_purchase_ts < timestamp '1998-01-01' as is_baseline
+    """select cast(payment_value as double) as v, coalesce(order_purchase_ts < timestamp '1998-01-01', false) as is_baseline
 from t_payments join t_orders using (order_id) where payment_value is not null""",
 )
 psi_views(
     "price",
-    """select cast(price as double) as v, order_purchase_ts < timestamp '1998-01-01' as is_baseline
+    """select cast(price as double) as v, coalesce(order_purchase_ts < timestamp '1998-01-01', false) as is_baseline
 from t_items join t_orders using (order_id)""",
 )
 psi_views(
     "days",
     """select cast(date_diff('day', date '1995-01-01', cast(order_purchase_ts as date)) as double) as v,
-  order_purchase_ts < timestamp '1998-01-01' as is_baseline from t_orders""",
+  coalesce(order_purchase_ts < timestamp '1998-01-01', false) as is_baseline from t_orders""",
 )
 
 VIEWS["audit"] = """

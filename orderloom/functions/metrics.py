@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.ordering import running_total, with_even_bucket
+from ..sources.sinks import stored
 
 # Fixed value: lower bound of both sides of the percentage error.
 FLOOR = 1e-8
@@ -30,11 +31,13 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
 
     Rows are reduced to one per distinct score before anything is ordered.
     """
-    counts = (
+    # Stored, since cuts, offsets and ranks all read it.
+    counts = stored(
         df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y"))
         .filter(F.col("s").isNotNull() & F.col("y").isNotNull())
         .groupBy("s")
-        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")),
+        "score-counts",
     )
     ranked = running_total(with_even_bucket(counts, "s", "part"), F.col("neg"), F.col("part"), [F.col("s")], name="below")
     wide = "decimal(38,0)"

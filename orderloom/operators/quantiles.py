@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.sinks import stored
 from .ordering import running_total, with_even_bucket
 
 
@@ -25,7 +26,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> DataF
     ``percentile`` would hold all distinct values in one task; this finds the
     order statistics by their rank in a distributed running total.
     """
-    counts = value_counts(df, column)
+    # Stored, since cuts, offsets and ranks all read it: one row per distinct value.
+    counts = stored(value_counts(df, column), "value-counts")
     ranked = running_total(with_even_bucket(counts, "v", "part"), F.col("n"), F.col("part"), [F.col("v")], grand_total="total")
 
     def at(rank: Column) -> Column:

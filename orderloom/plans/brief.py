@@ -109,3 +109,19 @@ def client_daily_brief(
         (F.lit(run_id) if run_id else F.expr("uuid()")).alias("run_id"),
     )
     return schemas.conform(row, schemas.OUTPUT["client_daily_brief"])
+
+
+def with_variant(briefs: DataFrame) -> DataFrame:
+    """Brief rows whose payload is a VARIANT column ``kpi`` in place of its text."""
+    return briefs.select(*[F.parse_json("kpi_json").alias("kpi") if c == "kpi_json" else F.col(c) for c in briefs.columns])
+
+
+def variant_fields(briefs: DataFrame) -> DataFrame:
+    """The payload's fields with their types, read out of the VARIANT column; NULL for a missing one."""
+    fields = [F.try_variant_get("kpi", "$.kpi_date", "date").alias("kpi_date")]
+    fields += [
+        F.try_variant_get("kpi", f"$.{name}_{when}", "double").alias(f"{name}_{when}")
+        for name, _, _ in _KPIS
+        for when in ("latest", "prev")
+    ]
+    return briefs.select(*[c for c in briefs.columns if c != "kpi"], *fields)

@@ -11,6 +11,9 @@ from ..functions import kpis
 # Defaults of the dashboard parameters.
 LAST_N_DAYS = 60
 MIN_CITY_ORDERS = 50
+# The payment types of the data set.
+PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
+NO_PAYMENT = "no_payment"
 FORECAST_STATE = "SP"
 
 
@@ -136,6 +139,13 @@ def risk_heatmap(scores: DataFrame) -> DataFrame:
     return scores.groupBy("customer_state", "payment_type").agg(F.avg("delay_risk_score").alias("avg_risk"))
 
 
+def risk_heatmap_grid(scores: DataFrame, payment_types: Sequence[str] = PAYMENT_TYPES) -> DataFrame:
+    """The heat map as a grid: a row per state, a column per payment type and one for orders without payment."""
+    kinds = F.coalesce("payment_type", F.lit(NO_PAYMENT)).alias("payment_type")
+    cells = latest_run(scores).select("customer_state", kinds, "delay_risk_score")
+    return cells.groupBy("customer_state").pivot("payment_type", [*payment_types, NO_PAYMENT]).agg(F.avg("delay_risk_score"))
+
+
 def forecast_by_state(forecast: DataFrame, state: str = FORECAST_STATE) -> DataFrame:
     return forecast.filter(F.col("customer_state") == state)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -54,6 +57,22 @@ def delay_matrix(train: DataFrame) -> DataFrame:
     )
 
 
+#: Models that are trained at the same time; each one's Spark jobs are small next to a cluster.
+AT_ONCE = 4
+
+
+def side_by_side(spark: SparkSession, fit: Callable, parts: Sequence) -> list:
+    """Results of independent fits in the order of ``parts``, some of them at the same time.
+
+    Threads of the driver only start and await Spark jobs. With the FAIR scheduler
+    (``spark.scheduler.mode``) their jobs share the executors evenly. The first error is raised.
+    """
+    with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
+        # Wrapped one by one, so that each thread has job settings of its own.
+        started = [pool.submit(inheritable_thread_target(spark)(fit), part) for part in parts]
+        return [job.result() for job in started]
+
+
 # ---------------------------------------------------------------- demand model
 
 
@@ -84,12 +103,15 @@ def train_forecast(
     n = indexed.count()
     if n == 0:
         raise ValueError("no training rows")
-    model, rows = None, []
-    for fold in splits.time_fold_plan(n, folds):
+
+    def fit(fold: splits.TimeFold) -> tuple[PipelineModel, tuple]:
         part, held_out = splits.time_fold_rows(indexed, fold)
         model = demand_pipeline(trees, depth).fit(part)
         score = model.transform(held_out).agg(metrics.mape(DEMAND_TARGET, "prediction")).first()[0]
-        rows.append((fold.fold, fold.start, fold.end - fold.start, score))
+        return model, (fold.fold, fold.start, fold.end - fold.start, score)
+
+    fitted = side_by_side(spark, fit, splits.time_fold_plan(n, folds))
+    model, rows = fitted[-1][0], [row for _, row in fitted]
     if refit:
         model = demand_pipeline(trees, depth).fit(indexed)
     scores = spark.createDataFrame(rows, "fold int, train_rows long, validation_rows long, score double")
@@ -150,6 +172,13 @@ def delay_matrix_encoded(train: DataFrame, drop_leaky: bool = False) -> DataFram
     return fitted.transform(train).select("order_id", "features", F.col(DELAY_LABEL).cast("int").alias(DELAY_LABEL))
 
 
+def matrix_cells(matrix: DataFrame) -> DataFrame:
+    """The matrix in long form: how many rows of an order have which value other than 0 at which position."""
+    cells = matrix.select("order_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    cells = cells.filter(F.col("value") != 0).groupBy("order_id", "position", "value").agg(F.count("*").alias("matrix_rows"))
+    return cells.withColumn("position", F.col("position").cast("bigint"))
+
+
 def _late_probability() -> Column:
     return vector_to_array("probability")[1]
 
@@ -173,11 +202,17 @@ def train_delay(
     folded = stored(splits.stratified_folds(train, folds=folds), "delay-matrix")
     if folded.isEmpty():
         raise ValueError("no training rows")
-    rows = []
     usable = [r["fold"] for r in splits.fold_class_counts(folded).filter("usable").orderBy("fold").collect()]
-    for f in usable:
-        model = delay_pipeline(trees, depth, drop_leaky).fit(folded.filter(F.col("fold") != f))
-        rows.append((int(f), _delay_auc(model, folded.filter(F.col("fold") == f))))
+
+    def fit(fold: int | None) -> tuple[PipelineModel, tuple]:
+        """One fold, or with None all rows."""
+        if fold is None:
+            return delay_pipeline(trees, depth, drop_leaky).fit(folded), ()
+        model = delay_pipeline(trees, depth, drop_leaky).fit(folded.filter(F.col("fold") != fold))
+        return model, (int(fold), _delay_auc(model, folded.filter(F.col("fold") == fold)))
+
+    *fitted, (final, _) = side_by_side(spark, fit, [*usable, None])
+    rows = [row for _, row in fitted]
     if not rows:
         quarters = stored(splits.stratified_folds(train, folds=4), "delay-holdout")
         held_out = quarters.filter(F.col("fold") == 0)
@@ -185,7 +220,6 @@ def train_delay(
             raise ValueError("cannot compute ROC-AUC: the validation rows hold one class only")
         model = delay_pipeline(trees, depth, drop_leaky).fit(quarters.filter(F.col("fold") != 0))
         rows.append((0, _delay_auc(model, held_out)))
-    final = delay_pipeline(trees, depth, drop_leaky).fit(folded)
     return final, spark.createDataFrame(rows, "fold int, score double")
 
 
@@ -207,12 +241,47 @@ def score_delay(model: PipelineModel, scoring: DataFrame, version: str, scored_a
 # ------------------------------------------------------------------- artifacts
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+_CONTRACT = "name string, kind string, levels array<string>"
+
+
+def _contract(model: PipelineModel, inputs: DataFrame) -> list[tuple]:
+    """Name and type of every input column that the model reads, and the levels of a category."""
+    levels = {}
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            levels |= {c.removeprefix("c_"): list(known) for c, known in zip(stage.getInputCols(), stage.labelsArray)}
+    read = set(levels) | {c.removeprefix("x_") for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()}
+    return [(f.name, f.dataType.simpleString(), levels.get(f.name)) for f in inputs.schema.fields if f.name in read]
+
 
+def save_model(model: PipelineModel, path: str, inputs: DataFrame) -> None:
+    """Store a model and beside it the columns that it reads, as ``inputs`` has them."""
+    model.write().overwrite().save(f"{path}/model")
+    rows = inputs.sparkSession.createDataFrame(_contract(model, inputs), _CONTRACT)
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+
+def load_model(spark: SparkSession, path: str, inputs: DataFrame) -> PipelineModel:
+    """A stored model for the given frame; an error where the frame lacks a column or has another type.
+
+    Further columns do no harm, and neither do unknown levels of a category: they count as
+    none of the known ones.
+    """
+    have = {f.name: f.dataType.simpleString() for f in inputs.schema.fields}
+    for row in spark.read.schema(_CONTRACT).parquet(f"{path}/columns").collect():
+        if row["name"] not in have:
+            raise ValueError(f"the model reads a column {row['name']}")
+        if have[row["name"]] != row["kind"]:
+            raise ValueError(f"column {row['name']} is {have[row['name']]}, the model reads {row['kind']}")
+    return PipelineModel.load(f"{path}/model")
+
+
+def differing_predictions(one: PipelineModel, other: PipelineModel, rows: DataFrame, column: str = "prediction") -> DataFrame:
+    """One row: how many rows were scored, and how many of them differently by the two models."""
+    first = one.transform(rows).select(*rows.columns, F.col(column).alias("_first"))
+    return other.transform(first).agg(
+        F.count("*").alias("scored_rows"), F.count_if(~F.col("_first").eqNullSafe(F.col(column))).alias("differing")
+    )
 
 
 def mean_score(spark: SparkSession, scores: DataFrame) -> float:

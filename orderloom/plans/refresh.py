@@ -78,8 +78,7 @@ def drift_samples(payments: DataFrame, dst: str, baseline: DataFrame | None, cur
     spark, path = payments.sparkSession, f"{dst}/features/drift_current_sample"
     current = features.drift_sample(payments) if current is None else current
     if baseline is None:
-        earlier = sinks.current_version(spark, path) > 0
-        baseline = sinks.read_latest(spark, path, current.schema) if earlier else current
+        baseline = sinks.read_latest(spark, path, current.schema) if sinks.is_stored(spark, path) else current
     baseline = sinks.full_refresh(baseline, f"{dst}/features/drift_baseline_sample")
     return baseline, sinks.full_refresh(current, path)
 
@@ -111,42 +110,46 @@ def run_models(
     """
     at = at or utc_now()
     version = version or at.strftime("%Y%m%d%H%M%S")
-    forecast, forecast_scores = models.train_forecast(
-        tables["demand_features_train"], sizes.forecast_trees, sizes.forecast_depth
-    )
-    delay, delay_scores = models.train_delay(tables["delay_features_train"], sizes.delay_trees, sizes.delay_depth)
-    forecast_path, delay_path = f"{dst}/models/forecast/{version}", f"{dst}/models/delay_risk/{version}"
-    models.save_model(forecast, forecast_path)
-    models.save_model(delay, delay_path)
-    challengers = spark.createDataFrame(
-        [
-            ("forecast", forecast_path, models.mean_score(spark, forecast_scores)),
-            ("delay_risk", delay_path, models.mean_score(spark, delay_scores)),
-        ],
-        "model_type string, model_resource_name string, metric_value double",
-    )
-    sinks.append(
-        models.score_demand(forecast, tables["demand_features_scoring"], version, at),
-        f"{dst}/mart/demand_forecast_daily",
-        schemas.OUTPUT["demand_forecast_daily"],
-    )
-    sinks.append(
-        models.score_delay(delay, tables["delay_features_scoring"], version, at),
-        f"{dst}/mart/delay_risk_scores",
-        schemas.OUTPUT["delay_risk_scores"],
-    )
+    train = {"forecast": tables["demand_features_train"], "delay_risk": tables["delay_features_train"]}
+    fitted = {
+        "forecast": models.train_forecast(train["forecast"], sizes.forecast_trees, sizes.forecast_depth),
+        "delay_risk": models.train_delay(train["delay_risk"], sizes.delay_trees, sizes.delay_depth),
+    }
+    rows = []
+    for kind, (model, scores) in fitted.items():
+        path = f"{dst}/models/{kind}/{version}"
+        models.save_model(model, path, train[kind])
+        rows.append((kind, path, models.mean_score(spark, scores)))
+    challengers = spark.createDataFrame(rows, "model_type string, model_resource_name string, metric_value double")
     drift = sinks.full_refresh(registry.drift_score(baseline, current), f"{dst}/features/drift_score")
     registry_path = f"{dst}/mart/model_registry"
-    base = sinks.current_version(spark, registry_path)
     old = sinks.read_latest_or_empty(spark, registry_path, "model_registry")
     result = sinks.full_refresh(
         registry.resulting_champions(old, challengers, drift), f"{dst}/mart/champion_result"
     )
-    sinks.write_version(registry.promote(old, challengers, drift, at), registry_path, base)
+    sinks.full_refresh(registry.promote(old, challengers, drift, at), registry_path)
     sinks.append(registry.drift_audit(drift, at), f"{dst}/mart/drift_audit", schemas.OUTPUT["drift_audit"])
+    score_champions(spark, result, tables, dst, at)
     return result
 
 
+def score_champions(spark: SparkSession, champions: DataFrame, tables: dict[str, DataFrame], dst: str, at: datetime) -> None:
+    """Append forecasts and risks by the models in use, which need not be the ones just trained.
+
+    The version of a score is the last part of its model's path.
+    """
+    jobs = {
+        "forecast": ("demand_features_scoring", models.score_demand, "demand_forecast_daily"),
+        "delay_risk": ("delay_features_scoring", models.score_delay, "delay_risk_scores"),
+    }
+    for row in champions.collect():  # one per model type
+        source, score, output = jobs[row["model_type"]]
+        path = row["model_resource_name"]
+        model = models.load_model(spark, path, tables[source])
+        scores = score(model, tables[source], path.rsplit("/", 1)[-1], at)
+        sinks.append(scores, f"{dst}/mart/{output}", schemas.OUTPUT[output])
+
+
 def store_brief(daily: DataFrame, dst: str, **given) -> DataFrame:
     """Append today's brief; an error when there is no KPI day."""
     brief.require_brief(brief.brief_kpis(daily))

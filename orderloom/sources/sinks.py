@@ -1,25 +1,20 @@
-"""Table sinks on parquet: full refresh, append, and versioned replacement.
+"""Table sinks on parquet: full refresh, append, and intermediate results.
 
-A replaceable table is a folder with its data in ``data/<unique name>`` and one small
-``versions/<number>`` per commit, which names the data folder. Data is written first; the
-commit creates the version's folder and fails if it is there, so a write that breaks off
-leaves the old table in place and of two writers only one commits.
+A refreshed table is written by Spark to a new folder, named by the time; readers take the
+newest folder that Spark has marked as complete. A write that breaks off leaves the old
+table in place. One writer per table is assumed, as with any plain overwrite.
 """
 
 from __future__ import annotations
 
-import uuid
+import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas, session
 
-_VERSION = "version long, folder string"
-
-
-class WriteConflict(RuntimeError):
-    """Another writer has committed the version meanwhile; read again and repeat."""
+#: Refreshes of a table that stay: the newest, and the one before for readers that have begun.
+KEPT = 2
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -30,46 +25,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _newest(spark: SparkSession, path: str) -> tuple[int, str | None]:
-    """Number and data folder of the committed version; (0, None) before the first."""
-    try:
-        rows = spark.read.schema(_VERSION).parquet(f"{path}/versions/*")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0, None
-        raise
-    newest = rows.agg(F.max(F.struct("version", "folder")).alias("v")).first()["v"]
-    return (newest["version"], newest["folder"]) if newest else (0, None)
-
-
-def _commit(spark: SparkSession, path: str, version: int, folder: str) -> None:
-    row = spark.createDataFrame([(version, folder)], _VERSION).coalesce(1)
-    try:
-        row.write.mode("errorifexists").parquet(f"{path}/versions/{version}")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_ALREADY_EXISTS":
-            raise WriteConflict(f"version {version} of {path} was committed by another writer") from error
-        raise
-
-
-def _replace(df: DataFrame, path: str, partition_by: str | None, base: int | None = None) -> tuple[int, DataFrame]:
-    spark = df.sparkSession
-    version = (_newest(spark, path)[0] if base is None else base) + 1
-    folder = f"data/{uuid.uuid4().hex}"
-    writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(f"{path}/{folder}")
-    _commit(spark, path, version, folder)
-    return version, spark.read.schema(df.schema).parquet(f"{path}/{folder}")
+def _complete(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the finished refreshes of a table, the newest last."""
+    folders = [f"{path}/{name}" for name in session.children(spark, path) if name.isdigit()]
+    return [f for f in folders if session.path_exists(spark, f"{f}/_SUCCESS")]
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Replace the table and return it as stored; readers see the old or the new table.
+    """Replace the table and return it as stored. ``df`` may read the table that it replaces.
 
     Partitioned tables are rebalanced on the partition column first: each value
     gets few files, and one that holds much of the data is split over several
     writers instead of going to one.
     """
-    return _replace(df, path, partition_by)[1]
+    spark, folder = df.sparkSession, f"{path}/{time.time_ns():020d}"
+    writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(folder)
+    for old in _complete(spark, path)[:-KEPT]:
+        session.remove(spark, old)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def append(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
@@ -78,30 +52,20 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def current_version(spark: SparkSession, path: str) -> int:
-    """The committed version's number; 0 when nothing is stored yet."""
-    return _newest(spark, path)[0]
-
-
-def write_version(df: DataFrame, path: str, base: int | None = None) -> int:
-    """Store a changed table; readers switch when the write commits.
-
-    ``base`` is the version that ``df`` was made from. If another one was committed since,
-    :class:`WriteConflict` is raised and nothing changes for readers.
-    """
-    return _replace(df, path, None, base)[0]
+def is_stored(spark: SparkSession, path: str) -> bool:
+    return bool(_complete(spark, path))
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """The committed version of a replaceable table, as declared."""
-    version, folder = _newest(spark, path)
-    if not version:
+    """The newest refresh of a table, as declared."""
+    folders = _complete(spark, path)
+    if not folders:
         raise FileNotFoundError(f"nothing is stored in {path}")
-    return spark.read.schema(schema).parquet(f"{path}/{folder}")
+    return spark.read.schema(schema).parquet(folders[-1])
 
 
 def read_latest_or_empty(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Like :func:`read_latest`, with a typed empty table before the first write."""
-    if not current_version(spark, path):
+    if not is_stored(spark, path):
         return schemas.empty_table(spark, name)
     return read_latest(spark, path, schemas.OUTPUT[name])

@@ -157,9 +157,16 @@ def test_delay_model_scores_unseen_categories_and_is_repeatable(spark, tmp_path)
     assert scored.count() == 5 and scored.filter("delay_risk_score between 0 and 1").count() == 5
     assert scored.first()["scored_at"] == datetime(2024, 1, 1)
     path = str(tmp_path / "model")
-    models.save_model(model, path)
-    again = models.score_delay(models.load_model(path), unseen, "v", datetime(2024, 1, 1))
+    models.save_model(model, path, train)
+    again = models.score_delay(models.load_model(spark, path, unseen), unseen, "v", datetime(2024, 1, 1))
     assert rows(again) == rows(scored)
+    # The frame has to have the columns that the model was trained on, with their types.
+    with pytest.raises(ValueError, match="reads a column seller_state"):
+        models.load_model(spark, path, unseen.drop("seller_state"))
+    with pytest.raises(ValueError, match="item_price is string"):
+        models.load_model(spark, path, unseen.withColumn("item_price", F.lit("1")))
+    known = {r["name"]: r["levels"] for r in spark.read.parquet(f"{path}/columns").collect()}
+    assert set(known) == {*models.DELAY_CATEGORIES, *models.DELAY_NUMBERS} and "ZZ" not in known["customer_state"]
     encoded = models.delay_matrix_encoded(train, drop_leaky=True).first()["features"]
     assert encoded.size == 2 + 3 + 2 + 1  # two numbers; states, seller states, payment types as levels
 

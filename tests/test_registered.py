@@ -1,6 +1,10 @@
 """Registered queries against DuckDB on the smallest tables."""
 
+import ast
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -40,3 +44,15 @@ def test_query_matches_duckdb(spark, duck, name):
 
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
+
+
+def test_queries_without_the_text_package(tmp_path):
+    """A copy without the package still lists, and checks, all other queries."""
+    root = os.path.dirname(os.path.abspath(registered.__file__))
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "*.json", "*.md"))
+    code = "import __spark_entry__ as e; print(sorted(e.queries())); print(sorted(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True)
+    listed, checked = map(ast.literal_eval, done.stdout.splitlines()[-2:])
+    core = [n for n in registered.queries() if not n.startswith("op") and n != "pipeline"]
+    assert listed == sorted(core) and set(checked) <= set(listed)
