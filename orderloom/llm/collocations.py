@@ -34,7 +34,7 @@ TRIGGER = 32
 #: Words that two chunks share: one less than the longest phrase has.
 _SHARED = LONGEST - 1
 #: Bytes of text that a task parses at a time, and of distinct chunks that make a block.
-PARSE_BYTES, BLOCK_BYTES = 4 << 20, 4 << 20
+PARSE_BYTES, BLOCK_BYTES = 4 << 20, 2 << 20
 NO_LANGUAGE = "und"
 # A to Z in lower case, the tab as a space and the marks that end a piece as line feeds.
 _TABLE = bytes(0x0A if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 0x09 else c for c in range(256)).lower()
