@@ -144,7 +144,7 @@ def score_champions(spark: SparkSession, champions: DataFrame, tables: dict[str,
     }
     for row in champions.collect():  # one per model type
         source, score, output = jobs[row["model_type"]]
-        path = row["model_resource_name"]
+        path = row["champion"]
         model = models.load_model(spark, path, tables[source])
         scores = score(model, tables[source], path.rsplit("/", 1)[-1], at)
         sinks.append(scores, f"{dst}/mart/{output}", schemas.OUTPUT[output])
