@@ -555,8 +555,8 @@ def _model_roundtrip(t: Tables) -> DataFrame:
 
 
 def _boosted_tree(t: Tables) -> DataFrame:
-    """The splits and leaves of one second-order tree."""
-    sizes = boosting.Settings(trees=1, depth=2, rate=1.0, rows=1.0, columns=1.0, bins=16, base=0.0)
+    """The splits and leaves of one second-order tree; from 1, so that the gradients are whole numbers."""
+    sizes = boosting.Settings(trees=1, depth=2, rate=1.0, rows=1.0, columns=1.0, bins=16, base=1.0)
     train = sinks.stored(t.demand_train, "demand-train")
     model = boosting.train(train, models.DEMAND_FEATURES, models.DEMAND_TARGET, sizes)
     nodes = t.spark.createDataFrame(boosting.splits_of(model), "node long, feature string, bin long, value double")

@@ -382,7 +382,7 @@ def _best(nodes: str) -> str:
   select node, f, name, b from (
     select *, sum(g) over (partition by node, f order by b) as gl, sum(h) over (partition by node, f order by b) as hl,
       sum(g) over (partition by node, f) as gt, sum(h) over (partition by node, f) as ht
-    from (select node, f, name, b, cast(sum(y) as double) as g, cast(count(*) as double) as h
+    from (select node, f, name, b, cast(sum(1 - y) as double) as g, cast(count(*) as double) as h
       from cells join {nodes} using (r) group by all))
   where hl >= 1 and ht - hl >= 1 and {_GAIN} > 0 qualify row_number() over (partition by node order by {_GAIN} desc, f, b) = 1"""
 
@@ -400,7 +400,7 @@ quarters as (select r, 2 * node + case when c.b > s.b then 2 else 1 end as node
   from halves join second s using (node) join cells c using (r, f))
 select cast(node as bigint) as node, name as feature, cast(b as bigint) as bin, cast(null as double) as value from first
 union all select node, name, b, null from second
-union all select coalesce(q.node, h.node, 0), null, null, round(sum(target_orders_next_7d) / (count(*) + 1.0), 6)
+union all select coalesce(q.node, h.node, 0), null, null, round(sum(target_orders_next_7d - 1) / (count(*) + 1.0), 6)
   from numbered left join halves h using (r) left join quarters q using (r) group by 1)"""
 _BODIES["boosted_forecast"] = "select hi - lo as validation_rows, true as better_than_naive from time_folds where fold = 4"
 
