@@ -179,3 +179,18 @@ def test_forecast_model(spark):
     out = models.score_demand(model, features.demand_features_scoring(base), "v1", datetime(2024, 1, 1))
     assert out.schema.simpleString() == schemas.OUTPUT["demand_forecast_daily"].simpleString() and out.count() == 2
     assert models.mean_score(spark, scores) > 0
+
+
+def test_delay_training_encodes_its_rows_once(spark, monkeypatch):
+    """Not once per fold; the folds read stored vectors, and the model still takes raw rows."""
+    made, real, kept, store = [], models.delay_encoder, [], models.stored
+    monkeypatch.setattr(models, "delay_encoder", lambda *a: made.append(a) or real(*a))
+    monkeypatch.setattr(models, "stored", lambda df, name: kept.append(name) or store(df, name))
+    train = _delay_rows(spark, 120, lambda i: i % 20 > 11)
+    model, scores = models.train_delay(train, trees=1, depth=2, folds=3)
+    assert len(made) == 1 and kept.count("delay-vectors") == 1 and scores.count() == 3
+    assert model.transform(train).count() == train.count()
+
+
+def test_large_models_are_trained_one_by_one():
+    assert [models.at_once(n) for n in (0, 1000, models.ROWS_AT_ONCE // 2, 50_000_000)] == [4, 4, 2, 1]

@@ -40,6 +40,13 @@ def test_crowded_values_spread_over_many_buckets(spark):
     assert len(sizes) > 200 and max(sizes) < 400
 
 
+def test_running_total_of_text_buckets_sorts_no_rows_for_its_offsets(spark):
+    df = spark.createDataFrame([(b, i) for b in (None, "a", "b") for i in range(3)], "b string, i long")
+    ranked = running_total(df, F.lit(1), F.col("b"), [F.col("i")], name="before")
+    assert sorted(r["before"] for r in ranked.collect()) == list(range(9))
+    assert "SortAggregate" not in ranked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_running_total_shuffles_rows_once(spark):
     """With broadcasts off, the rows meet their offsets in the partitioning of the window."""
     df = spark.range(1000).select("id", (F.col("id") % 7).cast("string").alias("g"))
