@@ -190,3 +190,20 @@ def test_hot_detail_key_is_split_at_run_time(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_shuffles_begin_with_more_partitions_for_more_input(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as registered
+    from orderloom import session
+    from conftest import SMALL
+
+    begin = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    registered.Tables(spark, SMALL)
+    assert spark.conf.get(begin) == "4"  # as the session says
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(session.SHUFFLED_PER_TASK)
+    size = session.input_bytes(spark, f"{SMALL}/lineitem.parquet")
+    assert size > 0 and session.input_bytes(spark, str(tmp_path / "none")) == 0
+    monkeypatch.setattr(session, "INPUT_PER_PARTITION", size // 50)
+    registered.Tables(spark, SMALL)
+    assert int(spark.conf.get(begin)) >= 50
+    spark.conf.set(begin, "4")
