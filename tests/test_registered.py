@@ -42,6 +42,34 @@ def test_query_matches_duckdb(spark, duck, name):
     assert _table(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loaded_columns_are_not_sorted(spark):
+    """A least text beside distinct counts had every row copied per column and sorted."""
+    assert "Expand" not in _plan(registered.queries()["raw_csv_load_columns"](spark, SMALL))
+
+
+def test_arriving_versions_have_files_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(registered, "FILE_ROWS", 100)
+    tables = registered.Tables(spark, SMALL)
+    paths, path = [], tables.path
+    monkeypatch.setattr(tables, "path", lambda name: paths.append(path(name)) or paths[-1])
+    orders = tables.order_text
+    tables.change_stream("orders", [orders, orders.limit(10)])
+    count = orders.count()
+    read = spark.read.parquet(paths[0]).filter("version = 1")
+    assert count > 300 and read.count() == count and len(read.inputFiles()) >= count // 100
+
+
+def test_model_queries_join_the_orders_once(spark):
+    tables = registered.Tables(spark, SMALL)
+    assert "Join" in _plan(tables.demand_train) and "Join" not in _plan(tables.demand_train_stored)
+    assert "Join" not in _plan(tables.demand_scoring_stored)
+    assert tables.demand_train_stored.exceptAll(tables.demand_train).isEmpty()
+
+
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
 
