@@ -99,9 +99,14 @@ def strings(column: pa.Array) -> pa.Array:
 
 
 def slices(batch: pa.RecordBatch, sizes: pa.Array, limit: int) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of about ``limit`` units of size, at least one row each; a null size is 0."""
+    """A batch in parts of about ``limit`` units of size, at least one row each; a null size is 0.
+
+    After the last part the worker gives back what Arrow keeps of freed memory: it stays for
+    the stages that follow, and each executor has a worker per core.
+    """
     size = sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = (np.cumsum(size) - size) // limit
     starts = np.flatnonzero(np.diff(part, prepend=-1))
     for low, high in zip(starts, np.append(starts[1:], len(size))):
         yield batch.slice(low, high - low)
+    pa.default_memory_pool().release_unused()

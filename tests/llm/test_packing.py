@@ -5,12 +5,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from llm.cases import ODD_TEXTS, SMALL
-from orderloom.llm import packing
+from orderloom.llm import common, packing
 from orderloom.llm.tokens import END_ID, TOKENIZER_FILE, Segments
 
 SEGMENTS = Segments(TOKENIZER_FILE)
@@ -130,3 +131,16 @@ def test_pack_odd_rows(odd_docs, sequence):
 
 def test_pack_nothing(odd_docs):
     assert packing.pack(odd_docs.limit(0)).count() == 0
+
+
+def test_the_parts_of_a_batch_give_arrow_memory_back(monkeypatch):
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(1)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    batch = pa.record_batch({"text": ["a" * 10, None, "b" * 10]})
+    assert sum(p.num_rows for p in common.slices(batch, pc.binary_length(batch["text"]), 10)) == 3
+    assert released == [1]
