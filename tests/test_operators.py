@@ -207,3 +207,22 @@ def test_shuffles_begin_with_more_partitions_for_more_input(spark, tmp_path, mon
     registered.Tables(spark, SMALL)
     assert int(spark.conf.get(begin)) >= 50
     spark.conf.set(begin, "4")
+
+
+def test_tasks_read_no_more_of_larger_files(spark):
+    """Sums per order held as many rows as a part of a file has, which grew with the file."""
+    import __spark_entry__ as registered
+    from orderloom import session
+    from conftest import SMALL
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    try:
+        registered.Tables(spark, SMALL)
+        assert spark.conf.get(key) == str(session.SCANNED_PER_TASK)
+        spark.conf.set(key, "64m")
+        registered.Tables(spark, SMALL)
+        assert spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
