@@ -237,7 +237,11 @@ class Searcher:
                 stretches += [(middle, end), (start, middle)]
                 continue
             for item, places in by_item.items():
-                if item not in found and (hit := self._verified(self.items[item], part, places)):
+                # Found with edits, an item may still stand without edits in a later stretch.
+                if item in found and not found[item][0]:
+                    continue
+                hit = self._verified(self.items[item], part, places)
+                if hit and (item not in found or not hit[0]):
                     edits, low, high = hit
                     found[item] = edits, int(origin[start + low]), int(origin[start + high - 1]) + 1
         return found

@@ -212,3 +212,13 @@ def test_few_hits_at_once_find_the_same_items(monkeypatch, seed):
     wanted = {k: v[0] == 0 for k, v in searcher.matches("".join(edited)).items()}
     monkeypatch.setattr(decontamination, "HITS_AT_ONCE", 500)
     assert {k: v[0] == 0 for k, v in searcher.matches("".join(edited)).items()} == wanted
+
+
+def test_an_item_without_edits_behind_an_edited_one_is_told_whatever_lies_between():
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    searcher = decontamination.Searcher([words])
+    edited = words.replace("v", "w")
+    for between in (100, decontamination._SLICE):
+        text = edited + " " + "x" * between + " " + words
+        assert searcher.matches(text) == {0: (0, text.index(words), len(text))}
+    assert searcher.matches(edited + " " + "x" * decontamination._SLICE)[0][0] > 0
