@@ -30,7 +30,7 @@ from .tokens import END_ID, TOKENIZER_FILE, Segments
 
 SEQUENCE = 1024
 #: Bytes of text that are tokenised at a time.
-TEXT_BYTES = 1 << 21
+TEXT_BYTES = 1 << 22
 _BASE = 1 << 40
 
 
@@ -63,7 +63,7 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, sequence: int, tokenize
         for batch in batches:
             for texts in slices(batch, pc.binary_length(batch["_text"]), TEXT_BYTES):
                 for row, counts, ids in segments.encode(texts["_text"]):
-                    ids = np.insert(ids.astype("<u4"), np.cumsum(counts), END_ID)
+                    ids = np.insert(ids, np.cumsum(counts), END_ID)
                     text, start, length = _cut(counts + 1, sequence)
                     # Pieces stand on end, as the texts do.
                     ends = 4 * np.concatenate([[0], np.cumsum(length)])

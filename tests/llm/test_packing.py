@@ -51,6 +51,25 @@ def test_memory_of_segments_is_bounded(monkeypatch):
     assert len(small.known) <= 3
 
 
+def test_a_known_word_is_not_encoded_again_beside_other_punctuation_or_a_line_feed(monkeypatch):
+    segments = Segments(TOKENIZER_FILE)
+    words = [f"{a}{b}word" for a in "bcdfghjklm" for b in "aeiouäéñ"]
+    first, *later = ["x " + " ".join([w + end for w in words]) for end in ("", ",", "...", "'", ")")]
+    feeds, again = ("x" + "".join([f"{before}\n{w}" for w in words]) for before in (".", ""))
+    assert _encoded(segments, [first, feeds]) == [_whole(first), _whole(feeds)]
+    given, encode = [], segments._one_by_one
+    monkeypatch.setattr(segments, "_one_by_one", lambda texts: given.extend(texts) or encode(texts))
+    assert _encoded(segments, [*later, again]) == [_whole(t) for t in [*later, again]]
+    assert not [t for t in given if "word" in t]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*" \n", "\n\n", "\r\n", *"\tab'1.,()é漢", "'s", "word", " Word,"]), max_size=10).map("".join), max_size=6))
+def test_segments_of_lines_and_punctuation(texts):
+    assert _encoded(SEGMENTS, texts) == [_whole(t) for t in texts]
+    assert _encoded(Segments.shared(TOKENIZER_FILE), texts) == [_whole(t) for t in texts]
+
+
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=40))
 @settings(deadline=None)
 def test_patterns_use_every_piece_once(histogram):
