@@ -46,15 +46,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _of_language(words: np.ndarray, langs: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """Hashes of words in their languages; ``es`` in ``en`` is not ``en`` in ``es``, as the names of languages are words too."""
+    return _mixed(words ^ _mixed(langs * _ODD)[lang])
+
+
 class Words:
     """The words of some lines: codes, values, and the line and language that each stands in."""
 
-    def __init__(self, lines: list[bytes], lang: pa.Array):
+    def __init__(self, lines: pa.Array, lang: pa.Array):
         lang = lang.dictionary_encode()
         self.langs = lang.dictionary
-        joined = b"\n".join(lines)
-        size = np.array([len(x) + 1 for x in lines], np.int64)
-        text = np.frombuffer(joined, np.uint8)
+        joined = pc.binary_join(pa.LargeListArray.from_arrays([0, len(lines)], lines), pa.scalar("\n", lines.type))
+        size = pc.binary_length(lines).to_numpy().astype(np.int64) + 1
+        text = np.frombuffer(joined[0].as_buffer().to_pybytes().translate(_TABLE), np.uint8)
         inside = (text != 0x0A) & (text != 0x20)
         edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
         self.start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -65,13 +70,12 @@ class Words:
             pa.binary(), len(self.start), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text[inside])]
         ).dictionary_encode()
         self.code, self.values = values.indices.to_numpy().astype(np.int64), values.dictionary
-        breaks = np.flatnonzero(text == 0x0A)
-        self.piece = np.searchsorted(breaks, self.start)
-        self.line = np.searchsorted(np.cumsum(size), self.start, side="right")
+        self.piece = np.cumsum(text == 0x0A, dtype=np.int32 if len(text) < 1 << 31 else np.int64)[self.start]
+        self.line = np.repeat(np.arange(len(lines)), np.diff(np.searchsorted(self.start, np.cumsum(size)), prepend=0))
         self.lang_of_line = lang.indices.to_numpy().astype(np.int64)
         self.lang = self.lang_of_line[self.line]
         digest = xxhash.xxh3_64_intdigest
-        self.value_hash = np.array([digest(v) for v in self.values.to_pylist()], np.uint64)
+        self.value_hash = np.fromiter(map(digest, self.values.to_numpy(zero_copy_only=False)), np.uint64, len(self.values))
         self.hash = self.value_hash[self.code]
         self.lang_hash = np.array([digest(v) for v in self.langs.to_pylist()], np.uint64)
 
@@ -85,7 +89,7 @@ class Words:
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of the ``n`` words from each word on; they may reach into the next piece."""
-        found = _mixed(self.hash ^ self.lang_hash[self.lang])
+        found = _of_language(self.hash, self.lang_hash, self.lang)
         for i in range(1, n):
             found = _mixed(found[:-1] * _ODD + self.hash[i:]) if len(found) else found
         return found
@@ -118,8 +122,7 @@ def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", trigg
     def run(batches):
         for batch in batches:
             for part in slices(batch, pc.binary_length(batch["text"]), PARSE_BYTES):
-                lines = [t.encode().translate(_TABLE) for t in strings(part["text"]).to_pylist()]
-                words = Words(lines, part["lang"])
+                words = Words(strings(part["text"]), part["lang"])
                 start, length, goes_on = _chunks(words, trigger)
                 found = pa.table(
                     {
@@ -152,14 +155,15 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def block() -> pa.RecordBatch:
         table = pa.Table.from_batches(waiting)
-        words = Words([c.encode() for c in table["chunk"].to_pylist()], table["lang"].combine_chunks())
+        words = Words(strings(table["chunk"].combine_chunks()), table["lang"].combine_chunks())
         length = np.bincount(words.line, minlength=table.num_rows)
         own = length - np.where(table["goes_on"].to_numpy(), _SHARED, 0)
         lang, times = words.lang_of_line, table["times"].to_numpy()
         totals = _summed(lang, own * times, len(words.langs))
         facts = [words.value_hash, words.lang_hash, words.code, lang, length, own, times]
         packed = [[f.astype(kind).tobytes()] for f, kind in zip(facts, _NUMBERS.values())]
-        columns = [[words.values.cast(pa.string()).to_pylist()], [words.langs.to_pylist()], [totals.tolist()], *packed]
+        lists = [words.values.cast(pa.string()), words.langs.cast(pa.string()), pa.array(totals)]
+        columns = [*(pa.ListArray.from_arrays([0, len(values)], values) for values in lists), *packed]
         return pa.record_batch(columns, ["words", "langs", "totals", *_NUMBERS])
 
     for batch in batches:
@@ -189,7 +193,7 @@ class Block:
         self.left = np.where(place < np.repeat(own, size), np.repeat(size, size) - place, np.int32(0))  # 0: the next chunk's
         self.times = np.repeat(times, size)
         self.lang = np.repeat(lang, size)
-        self._grams = [_mixed(self.hash ^ lang_hashes[self.lang])]
+        self._grams = [_of_language(self.hash, lang_hashes, self.lang)]
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of language and ``n`` words from each word on; they may reach into the next chunk."""
@@ -226,7 +230,9 @@ def _count_hashes(block: Block, n: int, bits: BitMap | None) -> pa.RecordBatch:
 def _count_phrases(block: Block, n: int, bits: BitMap) -> pa.RecordBatch:
     """Frequencies by words of the phrases of ``n`` words that may be frequent."""
     at = block.places(n, bits, n)
-    _, first, group = np.unique(block.grams(n)[at], return_index=True, return_inverse=True)
+    grams, group = np.unique(block.grams(n)[at], return_inverse=True)
+    first = np.empty(len(grams), np.int64)
+    first[group] = np.arange(len(at))  # any place of the group; NumPy's own first place takes a much slower sort
     if not block.same(at, at[first][group], n):  # equal hashes of unequal words
         keys = np.stack([block.lang[at], *[block.code[at + i] for i in range(n)]], axis=1)
         _, first, group = np.unique(keys, axis=0, return_index=True, return_inverse=True)

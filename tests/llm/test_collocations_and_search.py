@@ -95,6 +95,18 @@ def test_equal_hashes_are_counted_by_words(monkeypatch):
     assert sum(r["times"] for r in collocations._count_hashes(block, 2, FULL).to_pylist()) == 20
 
 
+def test_names_of_languages_as_words_have_hashes_of_their_own(monkeypatch):
+    names = ["en", "es", "de", "fr"]
+    rows = pa.record_batch([names, [" ".join(names)] * 4, [False] * 4, [2, 3, 5, 7]], ["lang", "chunk", "goes_on", "times"])
+    block = collocations.Block(next(collocations._pack(iter([rows]))), 0)
+    assert len(np.unique(block.grams(1))) == 16
+    sorts, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **b: sorts.append(b) or unique(*a, **b))
+    found = collocations._count_phrases(block, 1, FULL).to_pylist()
+    assert {(r["lang"], r["phrase"]): r["times"] for r in found} == {(a, b): n for a, n in zip(names, (2, 3, 5, 7)) for b in names}
+    assert sorts == [{"return_inverse": True}]  # neither a sort for first places nor one by words
+
+
 def test_scores_pass_64_bits(spark):
     big = 10**13
     rows = [("en", "a", big), ("en", "b", big + 7), ("en", "a b", big - 1)]
