@@ -490,7 +490,10 @@ def op13_sentence_pieces(spark, sf_dir: str) -> DataFrame:
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.coalesce(F.element_at("ends", -1) - F.element_at("begins", 1), F.lit(0)).cast("long").alias("covered_bytes"),
+        # A text without pieces has no last one.
+        F.coalesce(F.try_element_at("ends", F.lit(-1)) - F.try_element_at("begins", F.lit(1)), F.lit(0))
+        .cast("long")
+        .alias("covered_bytes"),
         "ids",
     )
     decoded = decode(digest, out="decoded")

@@ -105,6 +105,21 @@ def test_odd_rows(spark, odd_docs):
     assert [(r["score"], r["text"]) for r in sentence_pieces.decode(lists).collect()] == [(1, None), (2, ""), (3, " ")]
 
 
+def test_the_query_keeps_texts_without_pieces(spark, odd_docs, tmp_path):
+    """A null or empty text has a row with no tokens and no bytes."""
+    odd_docs.select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE)
+    found = sentence_pieces.op13_sentence_pieces(spark, str(tmp_path)).collect()
+
+    def row(doc_id, text):
+        ids = library.encode(text)
+        shas = (hashlib.sha256(t.encode()).hexdigest() for t in (",".join(map(str, ids)), library.decode(ids)))
+        return (doc_id, len(ids), *shas, len(text.encode()))
+
+    wanted = [row(r["doc_id"], r["text"] or "") for r in odd_docs.collect()]
+    assert sorted(map(str, wanted)) == sorted(str(tuple(r)) for r in found)
+
+
 def test_unknown_kinds_of_models_are_refused():
     model = sentencepiece_model_pb2.ModelProto.FromString(DATA)
     model.trainer_spec.model_type = 1
