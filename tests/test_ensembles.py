@@ -1,5 +1,7 @@
 """Models grown together against Spark's own trainer, and the sizes of the registered ones."""
 
+import inspect
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
@@ -9,6 +11,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
+from conftest import SMALL
 from orderloom.plans import ensembles, models
 from orderloom.plans.ensembles import Feature, Plan
 from test_features_and_splits import _delay_rows
@@ -74,3 +77,18 @@ def test_jobs_do_not_grow_with_trees(spark):
         found.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"trees-{trees}")))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert found[0] == found[1] > 0
+
+
+@pytest.mark.parametrize(("query", "trainer", "sizes"), [("delay_cv", "train_delay", (500, 6))])
+def test_validations_train_models_of_full_size(spark, monkeypatch, query, trainer, sizes):
+    real, found = getattr(models, trainer), []
+
+    def spied(train, *given):
+        bound = inspect.signature(real).bind(train, *given)
+        bound.apply_defaults()
+        found.append((bound.arguments["trees"], bound.arguments["depth"]))
+        return real(train, 1, 1)
+
+    monkeypatch.setattr(models, trainer, spied)
+    registered.queries()[query](spark, SMALL)
+    assert found == [sizes]
