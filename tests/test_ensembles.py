@@ -79,7 +79,7 @@ def test_jobs_do_not_grow_with_trees(spark):
     assert found[0] == found[1] > 0
 
 
-@pytest.mark.parametrize(("query", "trainer", "sizes"), [("delay_cv", "train_delay", (500, 6))])
+@pytest.mark.parametrize(("query", "trainer", "sizes"), [("delay_cv", "train_delay", (500, 6)), ("forecast_cv", "train_forecast", (400, 7))])
 def test_validations_train_models_of_full_size(spark, monkeypatch, query, trainer, sizes):
     real, found = getattr(models, trainer), []
 
