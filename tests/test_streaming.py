@@ -1,9 +1,12 @@
 """Ledger, change feed and text streams: repeats, moves, cancellations, late details, refusals."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+import __spark_entry__ as registered
+from conftest import SMALL, rows
 from orderloom import schemas, session
 from orderloom.operators.changes import apply_changes, change_feed
 from orderloom.sources import csv_tables
@@ -93,6 +96,17 @@ def test_tables_of_another_checkpoint_are_refused(spark, tmp_path):
         ledger.stream_ledger(ledger.as_inserts(empty), {}, str(tmp_path / "ledger"), str(tmp_path / "k"), str(tmp_path / "c"))
 
 
+def test_a_batch_writes_few_files(spark, tmp_path):
+    """A period's rows are put together, however many tasks had some of them."""
+    given = registered.Tables(spark, SMALL)
+    arriving = given.change_stream("orders", [given.order_text.repartition(8)])
+    paths = [str(tmp_path / n) for n in ("ledger", "kpis", "state")]
+    ledger.stream_ledger(arriving, {}, *paths).awaitTermination()
+    for path in paths[:2]:
+        files = [len(list(folder.glob("*.parquet"))) for folder in pathlib.Path(path).glob("period=*")]
+        assert len(files) > 12 and set(files) == {1}
+
+
 # --------------------------------------------------------------------------- change feed
 
 
